@@ -171,6 +171,10 @@ def first_ids(ranked: DataFrame) -> DataFrame:
 
 
 def historical_id(stage: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Put each member's second payer id into a stage; the rest stay as they are."""
-    second = first_ids(ranked).select("patient_id", "second_id").distinct()
+    """Put each member's second payer id into a stage; members without one stay."""
+    second = rank_first(
+        ranked.where(F.col("id_rank") == 2),
+        ["patient_id"],
+        [F.col("contract_name").asc_nulls_last(), F.col("payer_patient_id").asc_nulls_last()],
+    ).select("patient_id", F.col("payer_patient_id").alias("second_id"))
     return overlay(stage, second, "patient_id", "historical_person_id", "second_id")

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
+    # Column expressions are built by plain code; no need to record each call site.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

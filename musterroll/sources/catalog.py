@@ -94,6 +94,9 @@ class RosterSources:
         self._checked: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
+        original = REMOTE_COPIES.get(name)
+        if original and self._tables[name] is self._tables[original]:
+            return self[original]
         if name not in self._checked:
             table = self._tables[name]
             self._checked[name] = check_source(table() if callable(table) else table, name)
