@@ -78,7 +78,8 @@ class StepLog:
             self.log_step(FINISH, f"{message}: rows without {column}", number)
 
     def frame(self) -> DataFrame:
-        return self._spark.createDataFrame(self.rows, RUN_LOG_SCHEMA)
+        """The rows in one partition, so that a run adds one small file to the log."""
+        return self._spark.createDataFrame(self.rows, RUN_LOG_SCHEMA).coalesce(1)
 
 
 # Fixed order and texts of the two gates.

@@ -28,6 +28,7 @@ from tests.fixtures import (
     OPEN,
     code,
     frame,
+    local_frame,
     month,
     person,
     relation,
@@ -419,20 +420,22 @@ def test_assemble_keeps_members_without_partners(spark):
     ]
 
 
-def routed_stage(spark):
+@pytest.fixture(scope="module")
+def routed_stage:
     people = [(1, "Oak", "A"), (2, "Fir", None), (3, "Yew", ""), (4, "77Ash", None), (5, "77Elm", "B")]
-    return stage(
+    rows = stage(
         spark,
         member=[person(i, name) for i, name, _ in people],
         member_month=[month(i, payer_id=payer_id) for i, _, payer_id in people],
         member_provider=[relation(i) for i, _, _ in people],
         id_crosswalk=[],
     )
+    ddl = ", ".join(f"{name} {'int' if name == 'patient_id' else 'string'}" for name in rows.columns)
+    return local_frame(spark, [tuple(row) for row in rows.collect()], ddl)
 
 
-def test_route(spark):
-    rows = routed_stage(spark)
-    got = route(rows, CONFIG)
+def test_route(routed_stage):
+    got = route(routed_stage, CONFIG)
     assert values(got.current, "patient_id") == [(1,), (3,), (5,)]
     assert values(got.missing, "patient_id") == [(2,), (4,)]
     assert values(got.review, "patient_id") == [(4,), (5,)]
@@ -441,25 +444,25 @@ def test_route(spark):
         assert output.count() == output.distinct().count()
 
 
-def test_only_unreviewed(spark):
+def test_only_unreviewed(spark, routed_stage):
     cfg = replace(CONFIG, only_unreviewed=True)
     fixes = frame(spark, "id_correction", [(5, "C5"), (None, "C")])
-    assert values(route(routed_stage(spark), cfg, fixes).review, "patient_id") == [(4,)]
+    assert values(route(routed_stage, cfg, fixes).review, "patient_id") == [(4,)]
     with pytest.raises(ValueError):
-        route(routed_stage(spark), cfg)
+        route(routed_stage, cfg)
 
 
 @pytest.mark.parametrize(
     "fixes,kept", [([], [1, 3]), ([(5, "C5")], [1, 3, 5]), ([(9, "C9"), (None, "C")], [1, 3, 5])]
 )
-def test_suppression_of_the_current_roster(spark, fixes, kept):
-    current = route(routed_stage(spark), CONFIG).current
+def test_suppression_of_the_current_roster(spark, routed_stage, fixes, kept):
+    current = route(routed_stage, CONFIG).current
     got = suppress_unreviewed(current, frame(spark, "id_correction", fixes), CONFIG)
     assert values(got, "patient_id") == [(i,) for i in kept]
 
 
-def test_sent_rows_have_an_empty_subscriber_id(spark):
-    sent = sent_rows(route(routed_stage(spark), CONFIG).current)
+def test_sent_rows_have_an_empty_subscriber_id(routed_stage):
+    sent = sent_rows(route(routed_stage, CONFIG).current)
     assert sent.columns == [*ROSTER_COLUMNS, "subscriber_id"]
     assert values(sent, "subscriber_id") == [(None,)] * 3
 

@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import os
+from pathlib import Path
+
+import pytest
+
+from musterroll.sinks import workspace
+from musterroll.sinks.workspace import Workspace, shared_folder
+from musterroll.sinks.writers import (
+    append_archive,
+    append_log,
+    header_union,
+    read_archive,
+    write_report,
+    write_snapshot,
+)
+from tests.fixtures import local_frame, values
+
+
+def rows(spark, *items):
+    return local_frame(spark, list(items), "id int, name string")
+
+
+def test_snapshot_replaces(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_snapshot(rows(spark, (1, "a"), (2, "b")), path)
+    write_snapshot(rows(spark, (3, "c")), path)
+    assert values(spark.read.parquet(path), "id") == [(3,)]
+
+
+def test_archive_holds_each_run_once(spark, tmp_path):
+    path = str(tmp_path / "a")
+    schema = rows(spark).schema
+    append_archive(rows(spark, (1, "a")), path, "007")
+    append_archive(rows(spark, (2, "b")), path, "008")
+    append_archive(rows(spark, (1, "a")), path, "007")
+    assert values(read_archive(spark, path, schema), "run_id", "id") == [("007", 1), ("008", 2)]
+    append_archive(rows(spark), path, "007")
+    assert values(read_archive(spark, path, schema), "run_id", "id") == [("008", 2)]
+    with pytest.raises(ValueError):
+        append_archive(rows(spark), path, "../x")
+
+
+def test_log_grows(spark, tmp_path):
+    path = str(tmp_path / "l")
+    append_log(rows(spark, (1, "a")), path)
+    append_log(rows(spark, (1, "a")), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_header_union(spark):
+    got = header_union(rows(spark, (7, None)), ["id", "name", "more"], ["Id", "Name", "More"])
+    assert values(got, "id", "name", "more") == [("7", None, None), ("Id", "Name", "More")]
+
+
+def test_report_text(spark, tmp_path):
+    path = tmp_path / "r"
+    data = local_frame(
+        spark, [("007", "a\tb"), (None, ' "x" '), ("", "pad  ")], "code string, name string"
+    )
+    write_report(data.coalesce(1), str(path), {"Code": "code", "Name": "name", "Other": "other"})
+    [part] = [p for p in Path(path).iterdir() if p.suffix == ".csv"]
+    assert part.read_text().splitlines() == [
+        "Code\tName\tOther",
+        '007\t"a\tb"\t',
+        '\t" ""x"" "\t',
+        "\tpad  \t",
+    ]
+
+
+def test_workspace_keeps_and_drops_its_own_folder(spark):
+    one, two = Workspace(spark, "t"), Workspace(spark, "t")
+    assert one.path != two.path
+    assert values(one.keep(rows(spark, (1, "a")), "x"), "id", "name") == [(1, "a")]
+    two.keep(rows(spark, (2, "b")), "x")
+    one.drop()
+    assert not os.path.exists(one.path)
+    assert os.path.exists(two.path)
+    two.drop()
+
+
+class _Session:
+    """Stands in for a session of the given master and checkpoint folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.applicationId = "app-for-tests"
+        self._folder = folder
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self._folder or default
+
+
+def test_shared_folder():
+    assert shared_folder(_Session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
+    local = shared_folder(_Session("local[2]"))
+    assert os.path.isdir(local)
+    assert shared_folder(_Session("local[2]")) == local
+    assert workspace.CHECKPOINT_SETTING == "spark.checkpoint.dir"
