@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Over how many values the rows without a key are spread.
+NULL_KEY_SPREAD = 64
+
 
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for ``df``."""
@@ -18,13 +21,17 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def only_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys``; never multiplies rows."""
-    return df.join(keys.select(on), on, "left_semi")
+    """Rows of ``df`` whose key is in ``keys``; never multiplies rows.
+
+    A semi join cannot split a heavy key on its right side, so the keys are made
+    distinct first, most of it before they are shuffled.
+    """
+    return df.join(keys.select(on).distinct(), on, "left_semi")
 
 
 def without_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` that have no partner in ``keys``."""
-    return df.join(keys.select(*on), on, "left_anti")
+    return df.join(keys.select(*on).distinct(), on, "left_anti")
 
 
 def restrict_around(df: DataFrame, keys: DataFrame | None, on: str, reduce) -> DataFrame:
@@ -77,12 +84,20 @@ def suppress(
     Rows for which the condition is unknown stay. NOT IN is true for an empty
     list, unknown for a NULL key, false on a match, and otherwise unknown if the
     list holds a NULL. The two list counts come from scalar subqueries, so the
-    only join is the equi join on the distinct listed keys.
+    only join is the equi join on the distinct listed keys. Rows without a key
+    match nothing; a second join column spreads them over the partitions.
     """
     keys = listed.select(F.col(listed_key or key).alias("_listed"))
     n_rows = keys.agg(F.count(F.lit(1))).scalar()
     n_keys = keys.agg(F.count("_listed")).scalar()
-    hits = keys.where(F.col("_listed").isNotNull()).distinct().withColumn("_hit", F.lit(True))
+    hits = (
+        keys.where(F.col("_listed").isNotNull())
+        .groupBy("_listed")
+        .agg(F.min(F.lit(0)).alias("_listed_spread"))
+        .withColumn("_hit", F.lit(True))
+    )
+    others = [F.col(name) for name in df.columns if name != key]
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*others), F.lit(NULL_KEY_SPREAD)))
     not_in = (
         F.when(n_rows == 0, F.lit(True))
         .when(F.col(key).isNull(), F.lit(None).cast("boolean"))
@@ -92,7 +107,14 @@ def suppress(
     )
     return (
         df.withColumn("_candidate", predicate)
-        .join(hits, (F.col(key) == F.col("_listed")) & F.col("_candidate"), "left")
+        .withColumn("_spread", F.coalesce(spread, F.lit(0)).cast("int"))
+        .join(
+            hits,
+            (F.col(key) == F.col("_listed"))
+            & (F.col("_spread") == F.col("_listed_spread"))
+            & F.col("_candidate"),
+            "left",
+        )
         .where(~F.coalesce(F.col("_candidate") & not_in, F.lit(False)))
         .select(*df.columns)
     )

@@ -50,14 +50,21 @@ def employed_relations(
     employed: DataFrame,
     cfg: RosterConfig,
 ) -> DataFrame:
-    """Members with a current primary relation to an employed provider, counted."""
+    """Members with a current primary relation to an employed provider, counted.
+
+    ``employed`` has one row per NPI, so a semi join finds the provider rows. It
+    also keeps their size estimate at that of the provider table, so the long
+    relation table meets few keys without a shuffle. Many keys are grouped by more
+    than the join column: the join then reads both sides straight from a shuffle,
+    where adaptive execution can split a provider that most members have.
+    """
     npis = employed.where(ci_eq("employee", cfg.employed_label)).select(fold("npi").alias("_npi"))
     keys = (
         current_rows(provider_dim)
-        .select("provider_key", fold("npi").alias("_npi"))
-        .join(npis, "_npi")
-        .groupBy("provider_key")
+        .groupBy("provider_key", fold("npi").alias("_npi"))
         .agg(F.count(F.lit(1)).alias("provider_rows"))
+        .join(npis, "_npi", "left_semi")
+        .select("provider_key", "provider_rows")
     )
     return (
         current_rows(member_provider)

@@ -101,10 +101,48 @@ def test_suppression_joins_on_the_key(spark, stored):
     plan = plan_of(
         suppress(members, F.col("last_name").startswith("77"), "patient_id", stored.id_correction)
     )
-    assert "SortMergeJoin" in plan
+    assert "SortMergeJoin [patient_id" in plan
+    assert "_spread" in next(line for line in plan.splitlines() if "SortMergeJoin" in line)
     assert "NestedLoop" not in plan
 
 
+@pytest.fixture
+def small_skew(spark):
+    """Sizes at which adaptive execution splits already on test data."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_provider_of_a_third_of_the_members_is_split(spark, small_skew):
+    data = sources(spark)
+    relations = spark.range(200_000).repartition(16).selectExpr(
+        "cast(id as int) as patient_id",
+        "case when id % 3 = 0 then 10L else id end as provider_key",
+        "'Primary' as relationship_type",
+        "1 as is_row_current",
+    )
+    providers = spark.range(1000).selectExpr(
+        "id as provider_key", "'1111111111' as npi", "1 as is_row_current"
+    )
+    employed = employed_providers(
+        data.provider, data.provider_plan, data.provider_practice, CONFIG
+    )
+    got = employed_relations(relations, providers, employed, CONFIG)
+    rows = got.collect()
+    assert "SortMergeJoin(skew=true)" in plan_of(got)
+    assert len(rows) == 66_667 + 666 and {r["relations"] for r in rows} == {1}
+
+
 # -- a third of all rows under one key ----------------------------------------------
 
 
