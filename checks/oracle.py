@@ -364,19 +364,20 @@ FINAL = {
 _NAMES = re.compile(r"\b(" + "|".join(PIECES) + r")\b")
 
 
-def _needed(sql: str, done: list[str]) -> list[str]:
+def _needed(sql: str, done: list[str], given: set[str]) -> list[str]:
     """The pieces ``sql`` uses, each after the ones it uses itself."""
     for name in _NAMES.findall(sql):
-        if name not in done:
-            _needed(PIECES[name], done)
+        if name not in done and name not in given:
+            _needed(PIECES[name], done, given)
             if name not in done:
                 done.append(name)
     return done
 
 
-def _complete(sql: str) -> str:
-    pieces = [f"{name} AS ({PIECES[name]})" for name in _needed(sql, [])]
+def complete(sql: str, given: set[str] = frozenset()) -> str:
+    """``sql`` with the pieces it needs; those in ``given`` exist as tables."""
+    pieces = [f"{name} AS ({PIECES[name]})" for name in _needed(sql, [], given)]
     return f"WITH {', '.join(pieces)} {sql}" if pieces else sql
 
 
-ORACLE_SQL = {name: _complete(sql) for name, sql in FINAL.items()}
+ORACLE_SQL = {name: complete(sql) for name, sql in FINAL.items()}

@@ -54,14 +54,17 @@ def payer_ids(
             top=top,
         )
 
-    months = in_period(member_month, period).where(ci_prefix("data_sys", cfg.data_sys_prefix))
+    months = in_period(member_month, period).where(
+        F.col("patient_id").isNotNull() & ci_prefix("data_sys", cfg.data_sys_prefix)
+    )
     return restrict_around(months, cohort, "patient_id", ranked)
 
 
 def active_codes(id_crosswalk: DataFrame, cfg: RosterConfig) -> DataFrame:
     """Active external codes of the allowed types, normalized; NULL codes drop out."""
     return id_crosswalk.where(
-        ci_in("type_desc", cfg.code_types)
+        F.col("individual_id").isNotNull()
+        & ci_in("type_desc", cfg.code_types)
         & ~ci_prefix("external_code", cfg.id_prefix)
         & ci_eq("status", cfg.code_status)
     ).select(
@@ -132,7 +135,9 @@ def other_codes(
     The chosen code is compared with the code as stored, padded ones included.
     """
     stored = id_crosswalk.where(
-        ci_in("type_desc", cfg.code_types) & ~ci_prefix("external_code", cfg.id_prefix)
+        F.col("individual_id").isNotNull()
+        & ci_in("type_desc", cfg.code_types)
+        & ~ci_prefix("external_code", cfg.id_prefix)
     ).select(
         F.col("individual_id").alias("patient_id"),
         fold("external_code").alias("_stored"),

@@ -120,6 +120,7 @@ def attribute(
     relations = (
         current_rows(member_provider)
         .where(after(member_provider, "relationship_end_date", as_of))
+        .where(F.col("patient_id").isNotNull())
         .where(ci_eq("relationship_type", cfg.relationship_type))
         .select("patient_id", "provider_key")
     )

@@ -31,18 +31,15 @@ def check_source(df: DataFrame, name: str) -> DataFrame:
     missing = [column for column in wanted if column not in types]
     if missing:
         raise SourceError(f"source {name} lacks columns {missing}")
-    columns = []
     for column, kind in wanted.items():
         found = types[column]
         if not isinstance(found, KIND_TYPES[kind]):
             raise SourceError(
                 f"source {name}, column {column}: {found.simpleString()} is not a {kind}"
             )
-        value = F.col(column)
         if kind == FLAG and isinstance(found, T.BooleanType):
-            value = value.cast("int").alias(column)
-        columns.append(value)
-    return df.select(*columns)
+            df = df.withColumn(column, F.col(column).cast("int"))
+    return df if list(types) == list(wanted) else df.select(*wanted)
 
 
 def jdbc_options(spec: Mapping[str, Any]) -> dict[str, str]:

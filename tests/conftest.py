@@ -20,6 +20,9 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.maxMetadataStringLength", "2000")
+        # Compiling a plan takes longer than running it on a few rows.
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

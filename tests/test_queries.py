@@ -13,6 +13,20 @@ SF_DIR = os.environ.get("ROSTER_TEST_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables not here")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def compiled_plans(spark):
+    settings = {
+        "spark.sql.codegen.wholeStage": "true",
+        "spark.sql.codegen.factoryMode": "FALLBACK",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 @pytest.fixture(scope="module")
 def connection():
     return oracle_connection(SF_DIR)
