@@ -1,7 +1,8 @@
 """``python -m musterroll job.json [--run-id ID] [--as-of 2024-01-31T00:00:00]``
 
-The job file has three parts: ``config`` (roster settings), ``sources`` (table
-name -> where it is) and ``root`` (the folder of the outputs).
+The job file holds ``config`` (roster settings), ``sources`` (table name -> where
+it is), ``root`` (the folder of the outputs) and, if the outputs are to be catalog
+tables as well, ``database``.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
         as_of,
         run_id,
         job["root"],
+        database=job.get("database"),
     )
     print(json.dumps({"period": result.period, "counts": result.counts, "fired": result.fired}))
 

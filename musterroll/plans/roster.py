@@ -17,6 +17,7 @@ from musterroll.plans.identifiers import crosswalk, override_codes, payer_ids
 from musterroll.plans.providers import attribute, employed_providers
 from musterroll.plans.stage import assemble, route, sent_rows, suppress_unreviewed
 from musterroll.schemas import REPORT_COLUMNS, ROSTER_FILE_COLUMNS, STAGE_SCHEMA
+from musterroll.sinks.tables import register_outputs
 from musterroll.sinks.workspace import Workspace
 from musterroll.sinks.writers import (
     append_archive,
@@ -71,6 +72,9 @@ class RosterPaths:
     def __getattr__(self, name: str) -> str:
         if name.startswith("_"):
             raise AttributeError(name)
+        return self[name]
+
+    def __getitem__(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
 
@@ -90,6 +94,7 @@ def run(
     run_id: str,
     root: str,
     clock: Callable[[], datetime] = datetime.now,
+    database: str | None = None,
 ) -> RosterRun:
     """Build the roster and write every output below ``root``.
 
@@ -97,6 +102,7 @@ def run(
     quarantine mode) ``roster_overflow`` are replaced, ``roster_archive`` holds
     the sent rows of each run once, ``roster_file`` is the sendable file,
     ``alerts`` and ``report_*`` describe the gates that fired, ``run_log`` grows.
+    With ``database`` the roster, archive and log folders are also catalog tables.
 
     The cohort, the ranked payer ids and the stage are used several times and are
     written to the shared folder in between; no output is touched before the
@@ -188,4 +194,6 @@ def run(
     finally:
         append_log(log.frame(), paths.run_log)
         work.drop()
+    if database is not None:
+        register_outputs(spark, paths, database)
     return RosterRun(period, counts, fired, paths)

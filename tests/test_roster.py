@@ -121,6 +121,22 @@ def test_runs_outputs_and_log(spark, tmp_path):
     assert spark.read.parquet(third.paths.roster_missing_id).count() == 0
 
 
+def test_outputs_as_catalog_tables(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS roster_test LOCATION '{tmp_path}/db'")
+    try:
+        for run_id, n_missing in (("007", 2), ("008", 0)):
+            run(spark, population(spark, n_missing, 0), CONFIG, AS_OF, run_id, str(tmp_path), at_noon,
+                database="roster_test")
+            assert spark.table("roster_test.roster_missing_id").count() == n_missing
+        archive = spark.table("roster_test.roster_archive").groupBy("run_id").count()
+        assert values(archive, "run_id", "count") == [("007", 3), ("008", 3)]
+        assert spark.table("roster_test.roster_current").columns == ROSTER_COLUMNS
+        assert set(r["run_id"] for r in spark.table("roster_test.run_log").collect()) == {"007", "008"}
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS roster_test CASCADE")
+    assert spark.read.parquet(str(tmp_path / "roster_current")).count() == 3
+
+
 def test_no_months_at_all(spark, tmp_path):
     result = run(spark, sources(spark, member_month=[]), CONFIG, AS_OF, "r", str(tmp_path), at_noon)
     assert result.period is None
