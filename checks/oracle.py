@@ -117,7 +117,7 @@ PIECES = {
                     WHEN 'signup' THEN 'xid' || CAST(event_id AS VARCHAR)
                     ELSE CASE WHEN value > 60 THEN '' ELSE '000' END END AS external_code,
                CASE WHEN value >= 10 THEN 'ACTIVE ' ELSE 'closed' END AS status,
-               date_trunc('day', ts) AS last_upd_date
+               CAST(date_trunc('day', ts) AS TIMESTAMP) AS last_upd_date
         FROM events""",
     "id_correction": """
         SELECT CAST(s_suppkey AS INTEGER) AS patient_id,

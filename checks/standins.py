@@ -171,7 +171,7 @@ def id_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
              when 'signup' then concat('xid', event_id)
              else case when value > 60 then '' else '000' end end as external_code""",
         "case when value >= 10 then 'ACTIVE ' else 'closed' end as status",
-        "date_trunc('DAY', ts) as last_upd_date",
+        "cast(date_trunc('DAY', ts) as timestamp_ntz) as last_upd_date",
     )
 
 
