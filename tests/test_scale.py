@@ -96,6 +96,35 @@ def test_the_distinct_of_the_stage_needs_no_shuffle_of_its_own(stored):
     assert "HashAggregate" in lines[first + 1]
 
 
+def test_tables_bucketed_by_member_are_not_shuffled(spark, stored, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS roster_buckets LOCATION '{tmp_path}/db'")
+    try:
+        keys = {
+            "member": "patient_id",
+            "member_provider": "patient_id",
+            "id_crosswalk": "individual_id",
+        }
+        tables = {name: stored[name] for name in SCHEMAS}
+        for name, key in keys.items():
+            table = f"roster_buckets.{name}"
+            tables[name].write.bucketBy(4, key).sortBy(key).saveAsTable(table)
+            tables[name] = spark.table(table)
+        bucketed = RosterSources(tables)
+
+        def shuffles(data):
+            return (
+                plan_of(data.member.join(crosswalk(data.id_crosswalk, CONFIG), "patient_id")),
+                plan_of(attribute(data.member_provider, data.provider_dim, AS_OF, CONFIG)),
+            )
+
+        for with_buckets, plain in zip(shuffles(bucketed), shuffles(stored), strict=True):
+            assert "Exchange hashpartitioning(patient_id" in plain
+            assert "Exchange hashpartitioning(individual_id" not in with_buckets
+            assert "Exchange hashpartitioning(patient_id" not in with_buckets
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS roster_buckets CASCADE")
+
+
 def test_suppression_joins_on_the_key(spark, stored):
     members = stored.member.select("patient_id", "last_name")
     plan = plan_of(
