@@ -49,6 +49,7 @@ from musterroll.sinks.writers import (
     append_archive,
     header_union,
     read_archive,
+    read_report,
     write_report,
     write_snapshot,
 )
@@ -331,8 +332,7 @@ def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     review = review_extract(spark, sf_dir)
     path = f"{Workspace(spark, 'report').path}/review"
     write_report(review, path, REPORT_COLUMNS)
-    text = T.StructType([T.StructField(name, T.StringType()) for name in REPORT_COLUMNS])
-    return spark.read.csv(path, schema=text, sep="\t", header=True, escape='"', nullValue="")
+    return read_report(spark, path, REPORT_COLUMNS)
 
 
 def roster_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What the reader puts for an empty text until it is turned back; control characters
+# keep it apart from real values.
+EMPTY_MARK = "\x01empty\x01"
 RUN_ID_PATTERN = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -72,8 +75,8 @@ def write_report(
     """Tab-separated text with a heading line in each part file.
 
     Values are written as they are, without padding; one that holds a tab, a quote
-    or a line break is quoted, and NULL is empty. A mapping renames columns
-    (heading -> column).
+    or a line break is quoted. NULL is nothing and an empty text is a pair of
+    quotes, so the two stay apart. A mapping renames columns (heading -> column).
     """
     names = dict(columns) if isinstance(columns, Mapping) else {name: name for name in columns}
     text = as_text(df, list(dict.fromkeys(names.values())))
@@ -85,8 +88,22 @@ def write_report(
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
-        .option("emptyValue", "")
+        .option("emptyValue", '""')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+
+
+def read_report(spark: SparkSession, path: str, headings: Sequence[str]) -> DataFrame:
+    """A written report as text columns, with NULL and empty text told apart."""
+    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in headings])
+    rows = spark.read.csv(
+        path, schema=schema, sep="\t", header=True, escape='"', emptyValue=EMPTY_MARK
+    )
+    return rows.select(
+        *[
+            F.when(F.col(f"`{name}`") == EMPTY_MARK, "").otherwise(F.col(f"`{name}`")).alias(name)
+            for name in headings
+        ]
+    )

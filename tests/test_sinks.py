@@ -12,6 +12,7 @@ from musterroll.sinks.writers import (
     append_log,
     header_union,
     read_archive,
+    read_report,
     write_report,
     write_snapshot,
 )
@@ -65,10 +66,18 @@ def test_report_text(spark, tmp_path):
         "Code\tName\tOther",
         '007\t"a\tb"\t',
         '\t" ""x"" "\t',
-        "\tpad  \t",
+        '""\tpad  \t',
     ]
 
 
+def test_report_comes_back_as_it_was(spark, tmp_path):
+    rows = [("007", "a\tb"), (None, ' "x" '), ("", "pad  "), ("x", None), (None, "")]
+    path = str(tmp_path / "r")
+    write_report(local_frame(spark, rows, "code string, name string"), path, ["code", "name"])
+    got = [tuple(row) for row in read_report(spark, path, ["code", "name"]).collect()]
+    assert sorted(got, key=repr) == sorted(rows, key=repr)
+
+
 def test_workspace_keeps_and_drops_its_own_folder(spark):
     one, two = Workspace(spark, "t"), Workspace(spark, "t")
     assert one.path != two.path
