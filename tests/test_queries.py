@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import differences, oracle_connection
+from checks.oracle import ORACLE_SQL
+from checks.queries import QUERIES
 
 SF_DIR = os.environ.get("ROSTER_TEST_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables not here")
@@ -33,13 +35,15 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    df = contract.queries()[name](spark, SF_DIR)
-    rows, problem = differences(df, connection, contract.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    rows, problem = differences(df, connection, ORACLE_SQL[name])
     assert problem is None
     assert rows > 0
 
