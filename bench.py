@@ -59,6 +59,7 @@ def main() -> None:
             "spark.master": f"local[{cpus}]",
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": str(cpus),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(cpus),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -82,7 +82,9 @@ def member_month(spark: SparkSession, sf_dir: str) -> DataFrame:
              when '1-URGENT' then concat('XID', o_custkey, o_orderstatus)
              when '2-HIGH' then concat('xid', o_custkey, '     ')
              when '5-LOW' then null
-             else concat(o_custkey, '-', o_orderstatus) end as payer_patient_id""",
+             when '3-MEDIUM' then concat(o_custkey, '-', lower(o_orderstatus))
+             else concat(o_custkey, '-', o_orderstatus, if(o_orderkey % 3 = 0, '  ', '')) end
+             as payer_patient_id""",
         "concat('S', o_custkey) as payer_subscriber",
         "nullif(o_orderpriority, '3-MEDIUM') as payer_relation",
         """case o_orderstatus when 'O' then 'ROSTER feed' when 'P' then 'roster-2'
@@ -113,16 +115,33 @@ def member_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provider_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").selectExpr(
+    """Every other provider is there twice, under names that differ by case and blanks."""
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "*", "explode(if(s_suppkey % 2 = 0, array('', ' '), array(''))) as tail"
+    )
+    return suppliers.selectExpr(
         "s_suppkey as provider_key",
         "lpad(cast(s_suppkey div 2 as string), 10, '0') as npi",
-        "s_name as first_name",
+        "if(tail = '', s_name, lower(s_name)) as first_name",
         "case when s_acctbal < 1000 then null else cast(s_nationkey as string) end as middle_name",
-        "concat('Supplier ', s_suppkey) as last_name",
+        "concat('Supplier ', s_suppkey, tail) as last_name",
         "case when s_nationkey = 3 then 0 else 1 end as is_row_current",
     )
 
 
+def member_provider_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy that is not up to date: fewer rows are current."""
+    return member_provider(spark, sf_dir).withColumn(
+        "is_row_current", F.expr("if(patient_id % 7 = 0, 0, is_row_current)")
+    )
+
+
+def provider_dim_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return provider_dim(spark, sf_dir).withColumn(
+        "is_row_current", F.expr("if(provider_key % 11 = 0, 0, is_row_current)")
+    )
+
+
 def provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey as contact_id",
@@ -165,7 +184,7 @@ def id_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(user_id as int) as individual_id",
         "event_type as type_desc",
         """case event_type
-             when 'click' then cast(event_id as string)
+             when 'click' then concat(event_id, if(value > 50, '   ', ''))
              when 'view' then concat('V', event_id)
              when 'purchase' then lpad(cast(event_id as string), 12, '7')
              when 'signup' then concat('xid', event_id)
@@ -189,7 +208,7 @@ def id_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("event_type = 'click' and value > 20")
         .selectExpr(
             "cast(user_id as int) as patient_id",
-            "concat('0', event_id) as external_code",
+            "concat('0', event_id, if(value > 80, ' ', '')) as external_code",
         )
     )
 
@@ -200,6 +219,8 @@ READERS = {
     "contract_dim": contract_dim,
     "member_provider": member_provider,
     "provider_dim": provider_dim,
+    "member_provider_remote": member_provider_remote,
+    "provider_dim_remote": provider_dim_remote,
     "provider": provider,
     "provider_plan": provider_plan,
     "provider_practice": provider_practice,

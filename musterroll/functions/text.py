@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnLike = Column | str
@@ -26,6 +26,18 @@ def fold(value: ColumnLike) -> Column:
     return F.lower(F.rtrim(_col(value)))
 
 
+def distinct_folded(df: DataFrame, text: Iterable[str]) -> DataFrame:
+    """Distinct rows, where spellings of ``text`` columns that fold alike are one value.
+
+    The smallest spelling of each column is kept. Partial aggregation removes most
+    repeats before the shuffle.
+    """
+    text = list(text)
+    keys = [fold(name).alias(f"_{name}") if name in text else name for name in df.columns]
+    kept = df.groupBy(*keys).agg(*[F.min(name).alias(name) for name in text])
+    return kept.select(*df.columns)
+
+
 def ci_eq(value: ColumnLike, literal: str) -> Column:
     return fold(value) == F.lit(fold_text(literal))
 
@@ -68,10 +80,15 @@ def pad_code(value: ColumnLike, width: int = 10) -> Column:
 
 
 def normalize_code(value: ColumnLike, width: int = 10) -> Column:
-    """Pad, then strip leading zeros where the result is digits only."""
+    """Pad, then strip leading zeros where the result is a number.
+
+    Blanks around a number do not count, as in text of a fixed width; other codes
+    keep theirs.
+    """
     padded = pad_code(value, width)
-    bare = F.coalesce(F.nullif(F.ltrim(padded, F.lit("0")), F.lit("")), F.lit("0"))
-    return F.when(padded.rlike("^[0-9]+$"), bare).otherwise(padded)
+    number = F.trim(padded)
+    bare = F.coalesce(F.nullif(F.ltrim(number, F.lit("0")), F.lit("")), F.lit("0"))
+    return F.when(number.rlike("^[0-9]+$"), bare).otherwise(padded)
 
 
 def joined_name(*parts: ColumnLike, sep: str = " ") -> Column:

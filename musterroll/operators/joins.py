@@ -5,21 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Over how many values the rows without a key are spread.
-NULL_KEY_SPREAD = 64
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate for ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark itself would broadcast ``df`` in an equi join."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= plan_bytes(df) <= limit
-
-
 def only_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys``; never multiplies rows.
 
@@ -37,17 +22,11 @@ def without_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 def restrict_around(df: DataFrame, keys: DataFrame | None, on: str, reduce) -> DataFrame:
     """``reduce(df)`` limited to ``keys``, where ``reduce`` works per value of ``on``.
 
-    The restriction and the reduction give the same rows in either order. Small
-    key sets go first: the semi join is then a map-side filter and less data is
-    shuffled. Larger ones go last, because a shuffled semi join in front would
-    send every row of a heavy key to one task before the reduction shrinks it.
+    Always the reduction first: it shrinks a heavy key inside the map tasks, and the
+    semi join then meets few rows of each key. Where the keys are few enough to be
+    broadcast, the optimizer itself moves the semi join below the reduction.
     """
-    if keys is None:
-        return reduce(df)
-    keys = keys.select(on)
-    if fits_broadcast(keys):
-        return reduce(only_keys(df, keys, on))
-    return only_keys(reduce(df), keys, on)
+    return reduce(df) if keys is None else only_keys(reduce(df), keys, on)
 
 
 def overlay(
@@ -83,38 +62,23 @@ def suppress(
 
     Rows for which the condition is unknown stay. NOT IN is true for an empty
     list, unknown for a NULL key, false on a match, and otherwise unknown if the
-    list holds a NULL. The two list counts come from scalar subqueries, so the
-    only join is the equi join on the distinct listed keys. Rows without a key
-    match nothing; a second join column spreads them over the partitions.
+    list holds a NULL. Both list counts come from one aggregate, as a scalar
+    subquery. Only rows with a key for which the predicate is true are joined, to the
+    distinct listed keys; all others go round the join.
     """
     keys = listed.select(F.col(listed_key or key).alias("_listed"))
-    n_rows = keys.agg(F.count(F.lit(1))).scalar()
-    n_keys = keys.agg(F.count("_listed")).scalar()
+    size = keys.agg(
+        F.struct(F.count(F.lit(1)).alias("n_rows"), F.count("_listed").alias("n_keys"))
+    ).scalar()
+    n_rows, n_keys = size["n_rows"], size["n_keys"]
+    candidate = F.coalesce(predicate, F.lit(False))
+    keyed = candidate & F.col(key).isNotNull()
+    others = df.where(~keyed & ~(candidate & (n_rows == 0)))
     hits = (
-        keys.where(F.col("_listed").isNotNull())
-        .groupBy("_listed")
-        .agg(F.min(F.lit(0)).alias("_listed_spread"))
-        .withColumn("_hit", F.lit(True))
-    )
-    others = [F.col(name) for name in df.columns if name != key]
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*others), F.lit(NULL_KEY_SPREAD)))
-    not_in = (
-        F.when(n_rows == 0, F.lit(True))
-        .when(F.col(key).isNull(), F.lit(None).cast("boolean"))
-        .when(F.col("_hit"), F.lit(False))
-        .when(n_rows > n_keys, F.lit(None).cast("boolean"))
-        .otherwise(F.lit(True))
+        keys.where(F.col("_listed").isNotNull()).distinct().withColumn("_hit", F.lit(True))
     )
-    return (
-        df.withColumn("_candidate", predicate)
-        .withColumn("_spread", F.coalesce(spread, F.lit(0)).cast("int"))
-        .join(
-            hits,
-            (F.col(key) == F.col("_listed"))
-            & (F.col("_spread") == F.col("_listed_spread"))
-            & F.col("_candidate"),
-            "left",
-        )
-        .where(~F.coalesce(F.col("_candidate") & not_in, F.lit(False)))
-        .select(*df.columns)
+    stays = F.coalesce("_hit", F.lit(False)) | (n_rows > n_keys)
+    candidates = (
+        df.where(keyed).join(hits, F.col(key) == F.col("_listed"), "left").where(stays)
     )
+    return candidates.select(*df.columns).union(others)

@@ -39,8 +39,13 @@ def contract_months(
         in_period(member_month, period)
         .select("patient_id", "contract_key")
         .join(contracts, "contract_key")
-        .groupBy("patient_id", "lob", "contract_name")
-        .agg(F.count(F.lit(1)).alias("months"))
+        .groupBy("patient_id", fold("lob").alias("_lob"), fold("contract_name").alias("_name"))
+        .agg(
+            F.min("lob").alias("lob"),
+            F.min("contract_name").alias("contract_name"),
+            F.count(F.lit(1)).alias("months"),
+        )
+        .drop("_lob", "_name")
     )
 
 

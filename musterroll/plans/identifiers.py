@@ -7,7 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from musterroll.config import RosterConfig
-from musterroll.functions.text import ci_eq, ci_in, ci_prefix, fold, normalize_code, strip_prefix
+from musterroll.functions.text import (
+    ci_eq,
+    ci_in,
+    ci_prefix,
+    distinct_folded,
+    fold,
+    normalize_code,
+    strip_prefix,
+)
 from musterroll.operators.joins import overlay, restrict_around, without_keys
 from musterroll.operators.ranking import rank_first, rank_rows
 from musterroll.plans.cohort import in_period
@@ -19,30 +27,29 @@ def payer_ids(
     cfg: RosterConfig,
     period: int | Column | None = None,
     cohort: DataFrame | None = None,
-    top: int | None = None,
+    top: int | None = 2,
 ) -> DataFrame:
     """Different payer ids of the period, ranked per member and contract.
 
-    The roster uses ranks 1 and 2 only and asks for ``top=2``. The distinct
-    spreads on all columns and the rank limit then cuts each group inside the map
-    tasks, so a member with very many ids is never gathered in one place.
+    The roster uses ranks 1 and 2 only. Ids that differ by case or trailing blanks are
+    one id. The grouping spreads on all columns and the rank limit then cuts each
+    group inside the map tasks, so a member with very many ids is never gathered in
+    one place; ``top=None`` ranks them all and does gather them.
     """
     contracts = contract_dim.select("contract_key", "contract_name", "lob")
 
     def ranked(months: DataFrame) -> DataFrame:
-        rows = (
-            months.join(contracts, "contract_key")
-            .select(
-                "patient_id",
-                strip_prefix("payer_patient_id", cfg.id_prefix).alias("payer_patient_id"),
-                F.concat("payer_subscriber", "payer_relation").alias("subscriber_id"),
-                "contract_name",
-                "lob",
-            )
-            .distinct()
+        rows = months.join(contracts, "contract_key").select(
+            "patient_id",
+            strip_prefix("payer_patient_id", cfg.id_prefix).alias("payer_patient_id"),
+            F.concat("payer_subscriber", "payer_relation").alias("subscriber_id"),
+            "contract_name",
+            "lob",
         )
         return rank_rows(
-            rows,
+            distinct_folded(
+                rows, ["payer_patient_id", "subscriber_id", "contract_name", "lob"]
+            ),
             ["patient_id", fold("contract_name")],
             [
                 F.col("payer_patient_id").asc_nulls_last(),
@@ -98,32 +105,41 @@ def crosswalk(
 
 def blank_codes(codes: DataFrame, blanks: DataFrame, width: int = 10) -> DataFrame:
     """Empty the code of listed (member, code) pairs."""
-    pairs = (
-        blanks.select(
-            F.col("patient_id").alias("_blank_id"),
-            normalize_code("external_code", width).alias("_blank_code"),
-        )
-        .where(F.col("_blank_id").isNotNull() & F.col("_blank_code").isNotNull())
-        .distinct()
-    )
-    listed = (codes["patient_id"] == pairs["_blank_id"]) & (codes["code"] == pairs["_blank_code"])
-    return (
-        codes.join(pairs, listed, "left")
-        .withColumn("code", F.when(F.col("_blank_id").isNotNull(), "").otherwise(F.col("code")))
-        .select(*codes.columns)
-    )
+    return override_codes(codes, blanks, None, width)
 
 
 def override_codes(
-    codes: DataFrame, blanks: DataFrame, corrections: DataFrame, width: int = 10
+    codes: DataFrame, blanks: DataFrame, corrections: DataFrame | None, width: int = 10
 ) -> DataFrame:
-    """Blank listed codes, then apply reviewed corrections; the order matters."""
-    return overlay(
-        blank_codes(codes, blanks, width),
-        corrections,
-        "patient_id",
-        "code",
-        "correct_external_code",
+    """Blank listed codes, then apply reviewed corrections; the order matters.
+
+    Both lists are gathered per member, each in one row, so that ``codes`` meets them
+    in one join on the member. A member's list of blanked codes is small.
+    """
+    listed = blanks.select(
+        F.col("patient_id").alias("_fix_id"),
+        fold(normalize_code("external_code", width)).alias("_blank"),
+        F.lit(None).cast("string").alias("_value"),
+        F.lit(False).alias("_correction"),
+    ).where(F.col("_fix_id").isNotNull() & F.col("_blank").isNotNull())
+    if corrections is not None:
+        fixed = corrections.where(F.col("patient_id").isNotNull()).select(
+            F.col("patient_id"),
+            F.lit(None).cast("string"),
+            F.col("correct_external_code"),
+            F.lit(True),
+        )
+        listed = listed.union(fixed)
+    fixes = listed.groupBy("_fix_id").agg(
+        F.collect_set("_blank").alias("_blanks"),
+        F.min("_value").alias("_value"),
+        F.bool_or("_correction").alias("_corrected"),
+    )
+    blanked = F.when(F.array_contains("_blanks", fold("code")), "").otherwise(F.col("code"))
+    return (
+        codes.join(fixes, codes["patient_id"] == fixes["_fix_id"], "left")
+        .withColumn("code", F.when(F.col("_corrected"), F.col("_value")).otherwise(blanked))
+        .select(*codes.columns)
     )
 
 
@@ -149,7 +165,7 @@ def other_codes(
 
     def others(rows: DataFrame) -> DataFrame:
         left = without_keys(rows.distinct(), chosen, ["patient_id", "_stored"])
-        return left.select("patient_id", "code").distinct()
+        return distinct_folded(left.select("patient_id", "code"), ["code"])
 
     return restrict_around(stored, cohort, "patient_id", others)
 

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.config import RosterConfig
-from musterroll.functions.text import ci_eq, ci_in, ci_prefix, fold, joined_name
+from musterroll.functions.text import (
+    ci_eq,
+    ci_in,
+    ci_prefix,
+    distinct_folded,
+    fold,
+    joined_name,
+)
 from musterroll.operators.ranking import rank_first
 from musterroll.operators.joins import restrict_around
 
@@ -125,8 +132,10 @@ def attribute(
         .select("patient_id", "provider_key")
     )
     names = provider_dim.select("provider_key", "npi", "first_name", "middle_name", "last_name")
-    return (
-        restrict_around(relations, cohort, "patient_id", highest)
-        .join(names.distinct(), "provider_key")
-        .select("patient_id", *names.columns)
+    attributed = restrict_around(relations, cohort, "patient_id", highest).join(
+        names, "provider_key"
+    )
+    return distinct_folded(
+        attributed.select("patient_id", *names.columns),
+        ["npi", "first_name", "middle_name", "last_name"],
     )

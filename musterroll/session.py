@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Sizes are per shuffle partition; adaptive execution merges small ones and splits
-# large ones, so the starting number only has to be high enough for the data.
+# Adaptive execution merges small shuffle partitions up to the advisory size, and splits
+# them in skewed joins only, so the number to start with must suit the data: about the
+# bytes shuffled over the advisory size. 8192 do for a terabyte a shuffle.
 SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

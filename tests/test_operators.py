@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from musterroll.operators.aggregates import string_agg
 from musterroll.operators.conform import OVERFLOW_COLUMN, conform, split_overflow
 from musterroll.operators.joins import (
-    fits_broadcast,
     only_keys,
     overlay,
     restrict_around,
@@ -45,7 +44,6 @@ def test_restriction_gives_the_same_rows_before_and_after(spark, threshold):
     try:
         df = spark.createDataFrame([(1, 5), (1, 7), (2, 9), (3, 1)], "k int, v int")
         keys = spark.range(1, 3).select(F.col("id").cast("int").alias("k"))
-        assert fits_broadcast(keys) == (threshold != "-1")
         got = restrict_around(df, keys, "k", lambda d: d.groupBy("k").agg(F.max("v").alias("v")))
         assert values(got, "k", "v") == [(1, 7), (2, 9)]
     finally:
@@ -90,6 +88,22 @@ def test_suppress_keeps_duplicates_and_columns(spark):
     assert got.count() == 4
 
 
+def test_suppress_takes_a_frame_of_one_column(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
+    keys = spark.createDataFrame([(1,)], "id int")
+    got = suppress(df, F.lit(True), "id", keys)
+    assert values(got, "id") == [(None,), (1,)]
+    assert got.columns == ["id"]
+
+
+def test_suppress_joins_only_candidates_and_reads_the_list_for_counts_once(spark):
+    df = spark.range(9).select(F.col("id").cast("int").alias("id"), F.lit("8X").alias("name"))
+    keys = spark.createDataFrame([(1,)], "id int")
+    plan = suppress(df, F.col("name").startswith("8"), "id", keys)._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    assert text.count("Join LeftOuter") == 1 and "xxhash64" not in text
+
+
 def test_string_agg(spark):
     df = spark.createDataFrame(
         [(1, "b"), (1, "a"), (1, "b"), (1, None), (2, "z"), (3, None)], "k int, v string"

@@ -303,12 +303,29 @@ def test_payer_id_ranks(spark):
             month(1, payer_id="0", data_sys="South"), month(1, 202401, payer_id="0"),
         ],
     )
-    got = payer_ids(data.member_month, data.contract_dim, CONFIG)
+    got = payer_ids(data.member_month, data.contract_dim, CONFIG, top=None)
     assert values(got, "id_rank", "payer_patient_id", "lob", "subscriber_id") == [
         (1, "A", "HMO", "S101"), (2, "A", "PPO", "S101"), (3, "B", "HMO", "S101"),
         (4, None, "HMO", "S101"),
     ]
-    assert payer_ids(data.member_month, data.contract_dim, CONFIG, top=2).count() == 2
+    assert payer_ids(data.member_month, data.contract_dim, CONFIG).count() == 2
+
+
+def test_spellings_of_one_payer_id_give_no_second_id(spark):
+    months = [month(1, payer_id=i) for i in ("AB1", "ab1 ", "Ab1  ")]
+    data = sources(spark, member_month=months)
+    got = payer_ids(data.member_month, data.contract_dim, CONFIG)
+    assert values(got, "id_rank", "payer_patient_id") == [(1, "AB1")]
+    assert values(stage(spark, member_month=months), "person_id", "historical_person_id") == [
+        ("AB1", None)
+    ]
+
+
+def test_spellings_of_one_provider_give_one_row(spark):
+    names = [
+        (10, "1111111111", "Ann", "B", name, 1) for name in ("Stone", "STONE ", "stone")
+    ]
+    assert stage(spark, provider_dim=names).count() == 1
 
 
 def test_contract_spellings_are_one_contract(spark):
@@ -350,6 +367,16 @@ def test_crosswalk_filters(spark):
     assert values(got, "patient_id", "code") == [(1, "1"), (2, "2"), (7, "0")]
 
 
+def test_blanks_around_a_number_do_not_count(spark):
+    rows = [code(1, "12345  "), code(2, "A1  "), code(3, "  00012345")]
+    got = crosswalk(frame(spark, "id_crosswalk", rows), CONFIG)
+    assert values(got, "patient_id", "code") == [(1, "12345"), (2, "000000A1  "), (3, "12345")]
+    blanks = frame(spark, "id_blank", [(1, "0012345 "), (2, "a1")])
+    assert values(blank_codes(got, blanks), "patient_id", "code") == [
+        (1, ""), (2, "000000A1  "), (3, "12345"),
+    ]
+
+
 def test_latest_code_and_its_ties(spark):
     day = datetime(2024, 2, 1)
     rows = [
