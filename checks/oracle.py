@@ -29,6 +29,21 @@ _REPORT_COLUMNS = (
     "provider_middle_name, provider_full_name"
 )
 
+_STAGE_TEXT = (
+    "person_id, historical_person_id, last_name, first_name, middle_name, legal_sex, "
+    "date_of_birth, ssn, address, address_second_line, city, state, zip_code, phone_number, lob, "
+    "contract_name, provider_npi, provider_last_name, provider_first_name, provider_middle_name, "
+    "provider_full_name, record_number"
+).split(", ")
+
+
+def _folded(rows: str) -> str:
+    """One row of those that differ by case or trailing blanks only."""
+    kept = ", ".join(f"min({name}) AS {name}" for name in _STAGE_TEXT)
+    keys = ", ".join(f"lower(rtrim({name}))" for name in _STAGE_TEXT)
+    return f"SELECT patient_id, {kept} FROM {rows} GROUP BY patient_id, {keys}"
+
+
 # Named pieces; a piece may use the given tables and other pieces.
 PIECES = {
     "member": """
@@ -54,7 +69,9 @@ PIECES = {
                     WHEN '1-URGENT' THEN 'XID' || CAST(o_custkey AS VARCHAR) || o_orderstatus
                     WHEN '2-HIGH' THEN 'xid' || CAST(o_custkey AS VARCHAR) || '     '
                     WHEN '5-LOW' THEN NULL
-                    ELSE CAST(o_custkey AS VARCHAR) || '-' || o_orderstatus END
+                    WHEN '3-MEDIUM' THEN CAST(o_custkey AS VARCHAR) || '-' || lower(o_orderstatus)
+                    ELSE CAST(o_custkey AS VARCHAR) || '-' || o_orderstatus
+                         || CASE WHEN o_orderkey % 3 = 0 THEN '  ' ELSE '' END END
                     AS payer_patient_id,
                'S' || CAST(o_custkey AS VARCHAR) AS payer_subscriber,
                nullif(o_orderpriority, '3-MEDIUM') AS payer_relation,
@@ -76,12 +93,22 @@ PIECES = {
         FROM lineitem""",
     "provider_dim": """
         SELECT s_suppkey AS provider_key,
-               lpad(CAST(s_suppkey // 2 AS VARCHAR), 10, '0') AS npi, s_name AS first_name,
+               lpad(CAST(s_suppkey // 2 AS VARCHAR), 10, '0') AS npi,
+               CASE WHEN tail = '' THEN s_name ELSE lower(s_name) END AS first_name,
                CASE WHEN s_acctbal < 1000 THEN NULL ELSE CAST(s_nationkey AS VARCHAR) END
                     AS middle_name,
-               'Supplier ' || CAST(s_suppkey AS VARCHAR) AS last_name,
+               'Supplier ' || CAST(s_suppkey AS VARCHAR) || tail AS last_name,
                CASE WHEN s_nationkey = 3 THEN 0 ELSE 1 END AS is_row_current
-        FROM supplier""",
+        FROM supplier JOIN (VALUES (''), (' ')) AS tails(tail)
+             ON tail = '' OR s_suppkey % 2 = 0""",
+    "member_provider_remote": """
+        SELECT * REPLACE (CASE WHEN patient_id % 7 = 0 THEN 0 ELSE is_row_current END
+                          AS is_row_current)
+        FROM member_provider""",
+    "provider_dim_remote": """
+        SELECT * REPLACE (CASE WHEN provider_key % 11 = 0 THEN 0 ELSE is_row_current END
+                          AS is_row_current)
+        FROM provider_dim""",
     "provider": """
         SELECT s_suppkey AS contact_id,
                CASE WHEN s_nationkey = 4 THEN NULL
@@ -112,6 +139,7 @@ PIECES = {
         SELECT CAST(user_id AS INTEGER) AS individual_id, event_type AS type_desc,
                CASE event_type
                     WHEN 'click' THEN CAST(event_id AS VARCHAR)
+                         || CASE WHEN value > 50 THEN '   ' ELSE '' END
                     WHEN 'view' THEN 'V' || CAST(event_id AS VARCHAR)
                     WHEN 'purchase' THEN lpad(CAST(event_id AS VARCHAR), 12, '7')
                     WHEN 'signup' THEN 'xid' || CAST(event_id AS VARCHAR)
@@ -126,7 +154,8 @@ PIECES = {
         FROM supplier""",
     "id_blank": """
         SELECT CAST(user_id AS INTEGER) AS patient_id,
-               '0' || CAST(event_id AS VARCHAR) AS external_code
+               '0' || CAST(event_id AS VARCHAR)
+                   || CASE WHEN value > 80 THEN ' ' ELSE '' END AS external_code
         FROM events WHERE event_type = 'click' AND value > 20""",
     "latest_month": """
         SELECT * FROM member_month WHERE yearmo = (SELECT max(yearmo) FROM member_month)""",
@@ -163,30 +192,43 @@ PIECES = {
         FROM member p
         JOIN latest_month m ON p.patient_id = m.patient_id
         JOIN contract_dim d ON d.contract_key = m.contract_key AND d.is_contracted = 1
-        JOIN member_provider r ON r.patient_id = m.patient_id
+        JOIN member_provider_remote r ON r.patient_id = m.patient_id
              AND lower(rtrim(r.relationship_type)) = 'primary' AND r.is_row_current = 1
-        JOIN provider_dim v ON v.provider_key = r.provider_key AND v.is_row_current = 1
+        JOIN provider_dim_remote v ON v.provider_key = r.provider_key AND v.is_row_current = 1
         JOIN employed e ON lower(rtrim(e.npi)) = lower(rtrim(v.npi)) AND e.employee = 'EMPLOYED'
         WHERE lower(rtrim(d.contract_name)) IN ('asia', 'europe')
           AND lower(rtrim(p.patient_status)) = 'active'""",
+    "cohort": f"""
+        SELECT {_DEMOGRAPHICS}, patient_status, min(lob) AS lob,
+               min(contract_name) AS contract_name, count(*) AS join_rows
+        FROM cohort_rows
+        GROUP BY {_DEMOGRAPHICS}, patient_status, lower(rtrim(lob)),
+                 lower(rtrim(contract_name))""",
     "all_attributions": """
-        SELECT k.patient_id, k.provider_key, d.npi, d.first_name, d.middle_name, d.last_name
+        SELECT k.patient_id, k.provider_key, min(d.npi) AS npi, min(d.first_name) AS first_name,
+               min(d.middle_name) AS middle_name, min(d.last_name) AS last_name
         FROM (SELECT patient_id, max(provider_key) AS provider_key FROM member_provider
               WHERE relationship_end_date > TIMESTAMP '2001-06-01 00:00:00'
                 AND is_row_current = 1 AND lower(rtrim(relationship_type)) = 'primary'
               GROUP BY patient_id) k
-        JOIN provider_dim d ON d.provider_key = k.provider_key""",
+        JOIN provider_dim d ON d.provider_key = k.provider_key
+        GROUP BY k.patient_id, k.provider_key, lower(rtrim(d.npi)), lower(rtrim(d.first_name)),
+                 lower(rtrim(d.middle_name)), lower(rtrim(d.last_name))""",
     "stripped_ids": """
         SELECT *, CASE WHEN lower(payer_patient_id) LIKE 'xid%'
                        THEN substring(payer_patient_id, 4, length(rtrim(payer_patient_id)))
                        ELSE payer_patient_id END AS stripped_id
         FROM member_month""",
     "payer_rows": """
-        SELECT DISTINCT m.patient_id, m.stripped_id AS payer_patient_id,
-               m.payer_subscriber || m.payer_relation AS subscriber_id, d.contract_name, d.lob
+        SELECT m.patient_id, min(m.stripped_id) AS payer_patient_id,
+               min(m.payer_subscriber || m.payer_relation) AS subscriber_id,
+               min(d.contract_name) AS contract_name, min(d.lob) AS lob
         FROM stripped_ids m JOIN contract_dim d ON d.contract_key = m.contract_key
         WHERE m.yearmo = (SELECT max(yearmo) FROM member_month)
-          AND lower(m.data_sys) LIKE 'roster%'""",
+          AND lower(m.data_sys) LIKE 'roster%'
+        GROUP BY m.patient_id, lower(rtrim(m.stripped_id)),
+                 lower(rtrim(m.payer_subscriber || m.payer_relation)),
+                 lower(rtrim(d.contract_name)), lower(rtrim(d.lob))""",
     "ranked_ids": """
         SELECT *, row_number() OVER (PARTITION BY patient_id, lower(rtrim(contract_name))
                       ORDER BY payer_patient_id NULLS LAST, subscriber_id NULLS LAST,
@@ -202,8 +244,8 @@ PIECES = {
         SELECT *, right('0000000000' || external_code, 10) AS padded_code FROM id_crosswalk""",
     "code_rows": """
         SELECT individual_id AS patient_id,
-               CASE WHEN regexp_full_match(padded_code, '[0-9]+')
-                    THEN coalesce(nullif(ltrim(padded_code, '0'), ''), '0')
+               CASE WHEN regexp_full_match(trim(padded_code, ' '), '[0-9]+')
+                    THEN coalesce(nullif(ltrim(trim(padded_code, ' '), '0'), ''), '0')
                     ELSE padded_code END AS code,
                CAST(length(external_code) AS INTEGER) AS code_length, last_upd_date
         FROM padded_codes
@@ -219,7 +261,7 @@ PIECES = {
     "blanked_codes": """
         SELECT c.patient_id, c.code_length,
                CASE WHEN EXISTS (SELECT 1 FROM id_blank b WHERE b.patient_id = c.patient_id
-                                 AND ltrim(b.external_code, '0') = c.code)
+                                 AND ltrim(rtrim(b.external_code), '0') = c.code)
                     THEN '' ELSE c.code END AS code
         FROM latest_codes c""",
     "member_codes": """
@@ -227,8 +269,8 @@ PIECES = {
                CASE WHEN r.patient_id IS NOT NULL THEN r.correct_external_code ELSE c.code END
                     AS code
         FROM blanked_codes c LEFT JOIN id_correction r ON r.patient_id = c.patient_id""",
-    "stage": """
-        SELECT DISTINCT a.patient_id, p.payer_patient_id AS person_id,
+    "stage_spellings": """
+        SELECT a.patient_id, p.payer_patient_id AS person_id,
                s.second_id AS historical_person_id, a.last_name, a.first_name, a.middle_name,
                a.legal_sex, a.date_of_birth, a.ssn, a.address, a.address_second_line, a.city,
                a.state, a.zip_code, a.phone_number, coalesce(p.lob, a.lob) AS lob,
@@ -242,6 +284,7 @@ PIECES = {
         LEFT JOIN ranked_ids p ON p.patient_id = a.patient_id AND p.id_rank = 1
         LEFT JOIN second_ids s ON s.patient_id = a.patient_id
         LEFT JOIN all_attributions v ON v.patient_id = a.patient_id""",
+    "stage": _folded("stage_spellings"),
     "review_rows": f"""
         SELECT DISTINCT {_ROSTER_COLUMNS} FROM stage WHERE lower(last_name) LIKE 'house%'""",
     "missing_rows": f"""
@@ -251,6 +294,53 @@ PIECES = {
         WHERE person_id IS NOT NULL
           AND NOT coalesce(lower(last_name) LIKE 'house%'
                            AND patient_id NOT IN (SELECT patient_id FROM id_correction), FALSE)""",
+    "unchosen_codes": """
+        SELECT x.individual_id AS patient_id, min(x.padded_code) AS code
+        FROM padded_codes x
+        WHERE lower(rtrim(x.type_desc)) IN ('click', 'view', 'purchase', 'signup', 'error')
+          AND lower(x.external_code) NOT LIKE 'xid%'
+          AND NOT EXISTS (SELECT 1 FROM latest_codes c WHERE c.patient_id = x.individual_id
+                          AND lower(rtrim(c.code)) = lower(rtrim(x.external_code)))
+        GROUP BY x.individual_id, lower(rtrim(x.padded_code))""",
+    "gate_rows": """
+        SELECT 'missing_id' AS gate, count(*) AS n FROM missing_rows
+        UNION ALL SELECT 'review', count(*) FROM review_rows""",
+    "cohort_ids": """
+        SELECT payer_patient_id FROM ranked_ids
+        WHERE id_rank <= 2 AND patient_id IN (SELECT patient_id FROM cohort)""",
+    "cohort_codes": """
+        SELECT code_length FROM latest_codes
+        WHERE patient_id IN (SELECT patient_id FROM cohort)""",
+    "counted_steps": """
+        SELECT 'cohort' AS message, count(*) AS row_count FROM cohort
+        UNION ALL SELECT 'payer_id', count(*) FROM cohort_ids
+        UNION ALL SELECT 'crosswalk', count(*) FROM cohort_codes
+        UNION ALL SELECT 'attribution', count(*) FROM all_attributions
+                  WHERE patient_id IN (SELECT patient_id FROM cohort)
+        UNION ALL SELECT 'stage', count(*) FROM stage
+        UNION ALL SELECT 'roster_current', count(*) FROM current_rows
+        UNION ALL SELECT 'roster_missing_id', count(*) FROM missing_rows
+        UNION ALL SELECT 'roster_review', count(*) FROM review_rows
+        UNION ALL SELECT 'roster_archive', count(*) FROM current_rows
+        UNION ALL SELECT 'roster_file', NULL
+        UNION ALL SELECT 'roster', NULL""",
+    "log_rows": """
+        SELECT 'START' AS check_point, message, NULL AS row_count FROM counted_steps
+        UNION ALL SELECT 'FINISH', message, row_count FROM counted_steps
+        UNION ALL SELECT 'FINISH', 'payer_id: rows without payer_patient_id',
+                         count(*) FILTER (payer_patient_id IS NULL) FROM cohort_ids
+        UNION ALL SELECT 'FINISH', 'codes cut to their last characters',
+                         count(*) FILTER (code_length > 10) FROM cohort_codes
+        UNION ALL SELECT 'FINISH', 'stage: rows without person_id',
+                         count(*) FILTER (person_id IS NULL) FROM stage
+        UNION ALL SELECT 'FINISH', 'stage: rows without record_number',
+                         count(*) FILTER (record_number IS NULL) FROM stage
+        UNION ALL SELECT 'FINISH', 'stage: rows without provider_npi',
+                         count(*) FILTER (provider_npi IS NULL) FROM stage
+        UNION ALL SELECT 'ERROR', CASE gate
+                         WHEN 'missing_id' THEN 'There are rows without a payer id in the roster.'
+                         ELSE 'There are rows whose record number needs a review.' END, NULL
+                  FROM gate_rows WHERE n > 1""",
     "listed_members": """
         SELECT nullif(patient_id, 3) AS patient_id, nullif(last_name, 'HOUSEHOLD 5') AS last_name
         FROM member""",
@@ -263,7 +353,7 @@ _SUPPRESSED = """
 
 FINAL = {
     "latest_period": "SELECT * FROM latest_month",
-    "cohort_build": "SELECT *, count(*) AS join_rows FROM cohort_rows GROUP BY ALL",
+    "cohort_build": "SELECT * FROM cohort",
     "contract_filter": """SELECT * FROM contract_dim
         WHERE is_contracted = 1 AND lower(rtrim(contract_name)) IN ('asia', 'europe')""",
     "current_rows": "SELECT * FROM member_provider WHERE is_row_current = 1",
@@ -289,30 +379,27 @@ FINAL = {
     "rank_first": "SELECT * FROM latest_codes",
     "payer_ids": """SELECT patient_id, payer_patient_id, subscriber_id, contract_name, lob,
         CAST(id_rank AS INTEGER) AS id_rank FROM ranked_ids
-        WHERE patient_id IN (SELECT patient_id FROM cohort_rows)""",
+        WHERE id_rank <= 2 AND patient_id IN (SELECT patient_id FROM cohort_rows)""",
     "historical_id": """SELECT p.patient_id, s.second_id AS historical_person_id
         FROM member p LEFT JOIN second_ids s ON s.patient_id = p.patient_id""",
     "strip_prefix": """SELECT patient_id, yearmo, payer_patient_id, stripped_id,
         payer_subscriber || payer_relation AS subscriber_id FROM stripped_ids""",
     "normalize_code": """SELECT individual_id, external_code, padded_code,
-        CASE WHEN regexp_full_match(padded_code, '[0-9]+')
-             THEN coalesce(nullif(ltrim(padded_code, '0'), ''), '0') ELSE padded_code END AS code
+        CASE WHEN regexp_full_match(trim(padded_code, ' '), '[0-9]+')
+             THEN coalesce(nullif(ltrim(trim(padded_code, ' '), '0'), ''), '0')
+             ELSE padded_code END AS code
         FROM padded_codes""",
     "active_codes": "SELECT * FROM code_rows",
     "blank_override": "SELECT * FROM blanked_codes",
     "correction_overlay": "SELECT * FROM member_codes",
-    "other_codes": """SELECT DISTINCT x.individual_id AS patient_id, x.padded_code AS code
-        FROM padded_codes x
-        WHERE lower(rtrim(x.type_desc)) IN ('click', 'view', 'purchase', 'signup', 'error')
-          AND lower(x.external_code) NOT LIKE 'xid%'
-          AND NOT EXISTS (SELECT 1 FROM latest_codes c WHERE c.patient_id = x.individual_id
-                          AND lower(rtrim(c.code)) = lower(rtrim(x.external_code)))""",
+    "other_codes": "SELECT * FROM unchosen_codes WHERE TRUE",
     "concat_names": """SELECT provider_key, upper(last_name || ',' || first_name) AS provider_name,
         first_name || ' ' || middle_name || ' ' || last_name AS provider_full_name
         FROM provider_dim""",
     "roster_assemble": "SELECT * FROM stage",
-    "route_null_id": """SELECT patient_id, person_id, lob,
-        CASE WHEN person_id IS NULL THEN 'missing' ELSE 'current' END AS output FROM stage""",
+    "route_null_id": f"""SELECT patient_id, person_id, lob,
+        CASE WHEN person_id IS NULL THEN 'missing' ELSE 'current' END AS output
+        FROM (SELECT DISTINCT {_ROSTER_COLUMNS} FROM stage)""",
     "review_extract": "SELECT * FROM review_rows",
     "suppress_unreviewed": " UNION ALL ".join(
         [
@@ -328,11 +415,10 @@ FINAL = {
         FROM missing_rows
         UNION ALL SELECT 'review', count(*), 1, count(*) > 1 FROM review_rows""",
     "step_log": """
-        SELECT 'cohort' AS message, count(*) AS row_count
-        FROM (SELECT *, count(*) FROM cohort_rows GROUP BY ALL)
-        UNION ALL SELECT 'payer_id', count(*) FROM ranked_ids
-        UNION ALL SELECT 'crosswalk', count(*) FROM latest_codes
-        UNION ALL SELECT 'attribution', count(*) FROM all_attributions""",
+        SELECT 'run-1' AS run_id, 'member_roster' AS procedure_name, check_point,
+               TIMESTAMP '2001-06-01 00:00:00' AS run_time, message,
+               CAST(row_count AS BIGINT) AS row_count
+        FROM log_rows""",
     "varchar_conform": """SELECT patient_id, last_name, city, patient_status,
         concat_ws(',', CASE WHEN length(rtrim(last_name)) > 12 THEN 'last_name' END,
                   CASE WHEN length(rtrim(city)) > 9 THEN 'city' END,
@@ -355,9 +441,28 @@ FINAL = {
     "report_roundtrip": f"SELECT {_REPORT_COLUMNS} FROM review_rows",
     "roster_outputs": """
         SELECT *, 'current' AS output FROM current_rows
-        UNION ALL SELECT *, 'missing' FROM missing_rows
-        UNION ALL SELECT *, 'review' FROM review_rows
-        UNION ALL SELECT *, 'archive' FROM current_rows""",
+        UNION ALL BY NAME SELECT *, 'missing_id' AS output FROM missing_rows
+        UNION ALL BY NAME SELECT *, 'review' AS output FROM review_rows
+        UNION ALL BY NAME
+        SELECT *, CAST(NULL AS VARCHAR) AS subscriber_id, '2001-06-01 00:00:00' AS sent_at,
+               'run-1' AS run_id, 'archive' AS output FROM current_rows
+        UNION ALL BY NAME
+        SELECT 'run-1' AS run_id, n, gate AS message, 'alerts' AS output
+        FROM gate_rows WHERE n > 1
+        UNION ALL BY NAME
+        SELECT 'run-1' AS run_id, check_point, 2 * count(*) AS n, 'run_log' AS output
+        FROM log_rows GROUP BY check_point
+        UNION ALL BY NAME
+        SELECT record_number, CAST(NULL AS VARCHAR) AS historical_person_id, last_name, first_name,
+               middle_name, legal_sex, date_of_birth, ssn, address, address_second_line, city,
+               state, zip_code, phone_number, 'roster_file' AS output FROM current_rows
+        UNION ALL BY NAME
+        SELECT *, 'report_review' AS output FROM review_rows
+        WHERE (SELECT count(*) FROM review_rows) > 1""",
+    "catalog_sources": """
+        SELECT patient_id, contract_key, 'view' AS output FROM latest_month
+        UNION ALL
+        SELECT CAST(o_custkey AS INTEGER), o_orderkey % 25, 'table' FROM orders""",
     "roster_flagship": "SELECT * FROM current_rows",
 }
 

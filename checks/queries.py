@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.standins import AS_OF, CONFIG, sources, table
-from musterroll.audit import FINISH, StepLog, gates
+from musterroll.audit import gates
 from musterroll.functions.text import (
     ci_eq,
     ci_in,
@@ -41,18 +41,23 @@ from musterroll.plans.providers import (
     employee_flag,
     primary_practices,
 )
-from musterroll.plans.roster import cohort_of, roster_stage, run
-from musterroll.plans.stage import has_review_name, route, sent_rows, suppress_unreviewed
-from musterroll.schemas import REPORT_COLUMNS, ROSTER_COLUMNS
+from musterroll.plans.roster import ALERT_COLUMNS, RosterPaths, cohort_of, roster_stage, run
+from musterroll.plans.stage import gate_counts, has_review_name, route, suppress_unreviewed
+from musterroll.schemas import REPORT_COLUMNS, ROSTER_FILE_COLUMNS, RUN_LOG_SCHEMA
+from musterroll.sinks.tables import ARCHIVE_SCHEMA
 from musterroll.sinks.workspace import Workspace
 from musterroll.sinks.writers import (
     append_archive,
+    current_path,
     header_union,
+    publish,
     read_archive,
     read_report,
+    read_snapshot,
     write_report,
-    write_snapshot,
+    write_version,
 )
+from musterroll.sources.catalog import check_source, read_source
 
 
 def latest_period_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,15 +222,26 @@ def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_null_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which output each stage row goes to, in one pass over the stage."""
-    return stage_rows(spark, sf_dir).select(
-        "patient_id",
-        "person_id",
-        "lob",
-        F.when(F.col("person_id").isNull(), "missing").otherwise("current").alias("output"),
+    """The rows of each output of ``route``."""
+    routed = route(stage_rows(spark, sf_dir), CONFIG)
+    outputs = {"current": routed.current, "missing": routed.missing}
+    return _tagged(
+        {name: df.select("patient_id", "person_id", "lob") for name, df in outputs.items()}
     )
 
 
+def _tagged(outputs: dict[str, DataFrame]) -> DataFrame:
+    combined = None
+    for name, df in outputs.items():
+        tagged = df.withColumn("output", F.lit(name))
+        combined = (
+            tagged
+            if combined is None
+            else combined.unionByName(tagged, allowMissingColumns=True)
+        )
+    return combined
+
+
 def review_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route(stage_rows(spark, sf_dir), CONFIG).review
 
@@ -239,7 +255,7 @@ def suppression_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     corrections = data.id_correction
     lists = {
-        "empty": corrections.where(F.col("patient_id") < 0),
+        "empty": corrections.where(F.lit(False)),
         "keys": corrections,
         "null_key": corrections.select(F.nullif("patient_id", F.lit(5)).alias("patient_id")),
     }
@@ -251,26 +267,24 @@ def suppression_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
-def gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = Workspace(spark, "gates").keep(stage_rows(spark, sf_dir), "stage")
-    routed = route(stage, CONFIG)
-    return gates(routed.missing, routed.review, CONFIG.gate_threshold)
+def gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates(gate_counts(stage_rows(spark, sf_dir), CONFIG), CONFIG.gate_threshold)
+
+
+def written(spark: SparkSession, sf_dir: str, runs: int = 1) -> tuple[str, RosterPaths]:
+    """The job run ``runs`` times with one run id, below a folder that goes with the session."""
+    root = Workspace(spark, "roster").drop_at_end().path
+    for _ in range(runs):
+        result = run(
+            spark, sources(spark, sf_dir), CONFIG, AS_OF, "run-1", root, lambda: AS_OF
+        )
+    return root, result.paths
 
 
 def step_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts observed while the steps run; nothing is counted twice."""
-    data = sources(spark, sf_dir)
-    log = StepLog(spark, CONFIG.procedure_name, "check")
-    steps = {
-        "cohort": cohort_of(data, CONFIG),
-        "payer_id": payer_ids(data.member_month, data.contract_dim, CONFIG),
-        "crosswalk": crosswalk(data.id_crosswalk, CONFIG),
-        "attribution": attribute(data.member_provider, data.provider_dim, AS_OF, CONFIG),
-    }
-    for name, df in steps.items():
-        with log.step(name) as step:
-            step.count(df).write.format("noop").mode("overwrite").save()
-    return log.frame().where(F.col("check_point") == FINISH).select("message", "row_count")
+    """The log that the job itself writes."""
+    _, paths = written(spark, sf_dir)
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(paths.run_log)
 
 
 NARROW_MEMBER = T.StructType(
@@ -297,7 +311,7 @@ def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def joined_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = sources(spark, sf_dir)
     return string_agg(
-        payer_ids(data.member_month, data.contract_dim, CONFIG),
+        payer_ids(data.member_month, data.contract_dim, CONFIG, top=None),
         ["patient_id"],
         "payer_patient_id",
         name="payer_patient_ids",
@@ -311,18 +325,20 @@ def current_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written twice: the second snapshot replaces the first."""
+    """Published twice, and a third version not published: the second is current."""
     members = sources(spark, sf_dir).member
-    path = f"{Workspace(spark, 'snapshot').path}/members"
-    write_snapshot(members.limit(0), path)
-    write_snapshot(members, path)
-    return spark.read.schema(members.schema).parquet(path)
+    root = Workspace(spark, "snapshot").drop_at_end().path
+    for version, rows in (("1", members.where(F.lit(False))), ("2", members)):
+        write_version(rows, f"{root}/members", version)
+        publish(spark, root, {"members": version})
+    write_version(members.where(F.lit(False)), f"{root}/members", "3")
+    return spark.read.schema(members.schema).parquet(current_path(spark, root, "members"))
 
 
 def archive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run archived twice and a second run once."""
     members = sources(spark, sf_dir).member.select("patient_id", "last_name")
-    path = f"{Workspace(spark, 'archive').path}/sent"
+    path = f"{Workspace(spark, 'archive').drop_at_end().path}/sent"
     for run_id in ("2001", "2001", "2002"):
         append_archive(members, path, run_id)
     return read_archive(spark, path, members.schema)
@@ -330,34 +346,62 @@ def archive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     review = review_extract(spark, sf_dir)
-    path = f"{Workspace(spark, 'report').path}/review"
+    path = f"{Workspace(spark, 'report').drop_at_end().path}/review"
     write_report(review, path, REPORT_COLUMNS)
     return read_report(spark, path, REPORT_COLUMNS)
 
 
 def roster_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written job: all output tables after two runs with one run id."""
-    data = sources(spark, sf_dir)
-    root = Workspace(spark, "roster").path
-    for _ in range(2):
-        result = run(spark, data, CONFIG, AS_OF, "run-1", root, lambda: datetime(2001, 6, 1))
-    text = sent_rows(result_rows(spark, result.paths.roster_current)).schema
-    archive = read_archive(spark, result.paths.roster_archive, text).drop("run_id")
-    outputs = {
-        "current": result_rows(spark, result.paths.roster_current),
-        "missing": result_rows(spark, result.paths.roster_missing_id),
-        "review": result_rows(spark, result.paths.roster_review),
-        "archive": archive.select(*ROSTER_COLUMNS),
+    """The written job: everything it leaves after two runs with one run id."""
+    root, paths = written(spark, sf_dir, runs=2)
+    snapshots = {
+        name: read_snapshot(spark, root, f"roster_{name}")
+        for name in ("current", "missing_id", "review")
     }
-    combined = None
-    for name, df in outputs.items():
-        tagged = df.withColumn("output", F.lit(name))
-        combined = tagged if combined is None else combined.unionByName(tagged)
-    return combined
+    archive = read_archive(spark, paths.roster_archive, ARCHIVE_SCHEMA)
+    alerts = spark.read.schema(f"{ALERT_COLUMNS}, run_id string").parquet(paths.alerts)
+    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(paths.run_log)
+    sent = read_report(spark, f"{paths.roster_file}/{AS_OF:%Y%m%d}", list(ROSTER_FILE_COLUMNS))
+    report = read_report(spark, f"{paths.report_review}/run_id=run-1", REPORT_COLUMNS)
+    return _tagged(
+        {
+            **snapshots,
+            "archive": archive.withColumn("sent_at", F.col("sent_at").cast("string")),
+            "alerts": alerts.select("run_id", "n", F.col("gate").alias("message")),
+            "run_log": log.groupBy("run_id", "check_point").agg(F.count("*").alias("n")),
+            "roster_file": sent.select(
+                *[F.col(f"`{head}`").alias(name) for head, name in ROSTER_FILE_COLUMNS.items()]
+            ),
+            "report_review": report.withColumn("patient_id", F.col("patient_id").cast("int")),
+        }
+    )
 
 
-def result_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def catalog_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Member months read through a catalog table and through a view of it."""
+    name = f"checked_orders_{zlib.crc32(sf_dir.encode())}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{sf_dir}/orders.parquet'"
+    )
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY VIEW {name}_months AS
+            SELECT cast(o_custkey as int) AS patient_id, year(o_orderdate) AS yearmo,
+              o_orderkey % 25 AS contract_key, o_orderpriority AS payer_patient_id,
+              o_orderstatus AS payer_subscriber, o_orderstatus AS payer_relation,
+              o_orderstatus AS data_sys
+            FROM {name}"""
+    )
+    months = check_source(read_source(spark, {"table": f"{name}_months"}), "member_month")
+    orders = read_source(spark, {"table": name})
+    return _tagged(
+        {
+            "view": in_period(months).select("patient_id", "contract_key"),
+            "table": orders.select(
+                F.col("o_custkey").cast("int").alias("patient_id"),
+                (F.col("o_orderkey") % 25).alias("contract_key"),
+            ),
+        }
+    )
 
 
 QUERIES = {
@@ -388,7 +432,7 @@ QUERIES = {
     "route_null_id": route_null_id,
     "review_extract": review_extract,
     "suppress_unreviewed": suppression_cases,
-    "gate_counts": gate_counts,
+    "gate_counts": gate_rows,
     "step_log": step_log,
     "varchar_conform": varchar_conform,
     "header_union": header_rows,
@@ -397,5 +441,6 @@ QUERIES = {
     "archive_append": archive_append,
     "report_roundtrip": report_roundtrip,
     "roster_outputs": roster_outputs,
+    "catalog_sources": catalog_sources,
     "roster_flagship": current_roster,
 }

@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from musterroll.schemas import RUN_LOG_SCHEMA
+from musterroll.sinks.writers import append_log
 
 START, FINISH, ERROR = "START", "FINISH", "ERROR"
 
@@ -21,27 +22,29 @@ class Step:
         self.message = message
         self._observation: Observation | None = None
         self.row_count: int | None = None
-        self.null_counts: dict[str, int] = {}
+        self._tests: dict[str, Column] = {}
+        self.more_counts: dict[str, int] = {}
 
-    def count(self, df: DataFrame, nulls_of: tuple[str, ...] = ()) -> DataFrame:
+    def count(self, df: DataFrame, nulls_of: tuple[str, ...] = (), **also: Column) -> DataFrame:
+        """``also`` names further conditions whose rows are counted."""
         self._observation = Observation()
-        nulls = [F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in nulls_of]
-        return df.observe(self._observation, F.count(F.lit(1)).alias("row_count"), *nulls)
+        tests = {f"{self.message}: rows without {name}": F.col(name).isNull() for name in nulls_of}
+        self._tests = tests | also
+        counts = [F.count_if(test).alias(f"n{i}") for i, test in enumerate(self._tests.values())]
+        return df.observe(self._observation, F.count(F.lit(1)).alias("row_count"), *counts)
 
     def collect(self) -> None:
         if self._observation is not None:
             found = self._observation.get
             self.row_count = found["row_count"]
-            self.null_counts = {
-                name[5:]: value for name, value in found.items() if name.startswith("null_")
-            }
+            self.more_counts = {name: found[f"n{i}"] for i, name in enumerate(self._tests)}
 
 
 class StepLog:
     """START, FINISH and ERROR rows of one run: messages and counts, never values.
 
-    The rows are one or two per step, so they are held until ``frame`` turns them
-    into a table.
+    With ``path`` each row is added to the log there when it is logged, so that the
+    log tells how far a run came whose driver is gone. There are one or two rows a step.
     """
 
     def __init__(
@@ -50,18 +53,21 @@ class StepLog:
         procedure_name: str,
         run_id: str,
         clock: Callable[[], datetime] = datetime.now,
+        path: str | None = None,
     ):
         self._spark = spark
         self._procedure_name = procedure_name
         self._run_id = run_id
         self._clock = clock
+        self._path = path
         self.rows: list[tuple] = []
 
     def log_step(self, check_point: str, message: str, row_count: int | None = None) -> None:
         now = self._clock().replace(tzinfo=None)
-        self.rows.append(
-            (self._run_id, self._procedure_name, check_point, now, message, row_count)
-        )
+        row = (self._run_id, self._procedure_name, check_point, now, message, row_count)
+        self.rows.append(row)
+        if self._path is not None:
+            append_log(self._frame([row]), self._path)
 
     @contextmanager
     def step(self, message: str) -> Iterator[Step]:
@@ -70,16 +76,21 @@ class StepLog:
         try:
             yield step
         except Exception as problem:
-            self.log_step(ERROR, f"{message}: {type(problem).__name__}")
-            raise
+            try:
+                self.log_step(ERROR, f"{message}: {type(problem).__name__}")
+            finally:
+                raise problem  # also if it cannot be logged
         step.collect()
         self.log_step(FINISH, message, step.row_count)
-        for column, number in step.null_counts.items():
-            self.log_step(FINISH, f"{message}: rows without {column}", number)
+        for what, number in step.more_counts.items():
+            self.log_step(FINISH, what, number)
+
+    def _frame(self, rows: list[tuple]) -> DataFrame:
+        return self._spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1)
 
     def frame(self) -> DataFrame:
-        """The rows in one partition, so that a run adds one small file to the log."""
-        return self._spark.createDataFrame(self.rows, RUN_LOG_SCHEMA).coalesce(1)
+        """All rows so far."""
+        return self._frame(self.rows)
 
 
 # Fixed order and texts of the two gates.
@@ -89,16 +100,17 @@ GATE_MESSAGES = {
 }
 
 
-def gates(missing: DataFrame, review: DataFrame, threshold: int = 1) -> DataFrame:
-    """One row per gate: its count and whether it passed the threshold."""
-
-    def gate(name: str, df: DataFrame) -> DataFrame:
-        counted = df.agg(F.count(F.lit(1)).alias("n"))
-        return counted.select(
-            F.lit(name).alias("gate"),
-            "n",
-            F.lit(threshold).alias("threshold"),
-            (F.col("n") > threshold).alias("fired"),
-        )
+def gates(counts: DataFrame, threshold: int = 1) -> DataFrame:
+    """One row per gate: its count and whether it passed the threshold.
 
-    return gate("missing_id", missing).unionByName(gate("review", review))
+    ``counts`` is one row with a column for each gate.
+    """
+    found = F.array(
+        *[F.struct(F.lit(name).alias("gate"), F.col(name).alias("n")) for name in GATE_MESSAGES]
+    )
+    return counts.select(F.inline(found)).select(
+        "gate",
+        "n",
+        F.lit(threshold).alias("threshold"),
+        (F.col("n") > threshold).alias("fired"),
+    )

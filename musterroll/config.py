@@ -28,6 +28,7 @@ class RosterConfig:
     code_types: tuple[str, ...]
     review_prefix: str
 
+    # Fixed value: the end date of a plan that is open.
     open_end_date: date = date(2399, 12, 31)
     primary_office_values: tuple[str, ...] = PRIMARY_OFFICE_VALUES
     practice_status: str = "Active"

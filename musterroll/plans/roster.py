@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -9,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from musterroll.audit import ERROR, GATE_MESSAGES, StepLog, gates
+from musterroll.audit import ERROR, GATE_MESSAGES, StepLog
 from musterroll.config import RosterConfig
 from musterroll.operators.conform import conform, split_overflow
 from musterroll.plans.cohort import build_cohort, latest_period
@@ -21,13 +22,19 @@ from musterroll.sinks.tables import register_outputs
 from musterroll.sinks.workspace import Workspace
 from musterroll.sinks.writers import (
     append_archive,
-    append_log,
+    check_run_id,
+    publish,
+    version_path,
+    write_of_run,
     write_report,
-    write_snapshot,
+    write_version,
 )
 from musterroll.sources.catalog import RosterSources
 
 
+ALERT_COLUMNS = "environment string, gate string, n bigint, message string"
+
+
 def cohort_of(
     sources: RosterSources, cfg: RosterConfig, period: int | Column | None = None
 ) -> DataFrame:
@@ -57,7 +64,7 @@ def roster_stage(
     The left joins to the cohort restrict every branch to its members, so the
     branches are not restricted beforehand and the cohort is computed once.
     """
-    ids = payer_ids(sources.member_month, sources.contract_dim, cfg, period, top=2)
+    ids = payer_ids(sources.member_month, sources.contract_dim, cfg, period)
     codes = override_codes(
         crosswalk(sources.id_crosswalk, cfg), sources.id_blank, sources.id_correction, cfg.code_width
     )
@@ -98,49 +105,58 @@ def run(
 ) -> RosterRun:
     """Build the roster and write every output below ``root``.
 
-    ``roster_current``, ``roster_missing_id``, ``roster_review`` and (in
-    quarantine mode) ``roster_overflow`` are replaced, ``roster_archive`` holds
-    the sent rows of each run once, ``roster_file`` is the sendable file,
-    ``alerts`` and ``report_*`` describe the gates that fired, ``run_log`` grows.
-    With ``database`` the roster, archive and log folders are also catalog tables.
+    ``roster_current``, ``roster_missing_id`` and ``roster_review`` get a new version
+    each (``read_snapshot`` finds the current one; the three change together at the
+    end), ``roster_archive`` holds the sent rows of each run once, with the time of
+    sending, ``roster_file/<day>`` is the sendable file of that day, ``run_log`` grows
+    row by row. ``alerts`` and ``report_*`` describe the gates that fired, and
+    ``roster_overflow`` (in quarantine mode) the rows held back, each by run. With
+    ``database`` the roster, archive and log folders are also catalog tables.
 
     The cohort, the ranked payer ids and the stage are used several times and are
     written to the shared folder in between; no output is touched before the
     stage is complete.
     """
+    check_run_id(run_id)
     sources.check()
     paths = RosterPaths(root)
-    log = StepLog(spark, cfg.procedure_name, run_id, clock)
+    log = StepLog(spark, cfg.procedure_name, run_id, clock, paths.run_log)
     work = Workspace(spark, run_id)
+    version = f"{run_id}-{uuid.uuid4().hex[:12]}"
+    versions: dict[str, str] = {}
     counts: dict[str, int] = {}
 
-    def keep(name: str, df: DataFrame, nulls_of: tuple[str, ...] = ()) -> DataFrame:
+    def keep(
+        name: str, df: DataFrame, nulls_of: tuple[str, ...] = (), **also: Column
+    ) -> DataFrame:
         with log.step(name) as step:
-            kept = work.keep(step.count(df, nulls_of), name)
+            kept = work.keep(step.count(df, nulls_of, **also), name)
         counts[name] = step.row_count
         return kept
 
     def replace(name: str, df: DataFrame) -> DataFrame:
         with log.step(name) as step:
-            write_snapshot(step.count(df), getattr(paths, name))
-        counts[name] = step.row_count
-        return spark.read.schema(df.schema).parquet(getattr(paths, name))
+            write_version(step.count(df), paths[name], version)
+        counts[name], versions[name] = step.row_count, version
+        return spark.read.schema(df.schema).parquet(version_path(paths[name], version))
 
     try:
         log.log_step("START", "roster")
         # One value: known up front it prunes the fact's partitions in every step.
-        period = latest_period(sources.member_month).first()["yearmo"]
+        period = latest_period(sources.periods).first()["yearmo"]
         wanted = F.lit(None).cast("int") if period is None else period
 
         cohort = keep("cohort", cohort_of(sources, cfg, wanted))
         ids = keep(
             "payer_id",
-            payer_ids(sources.member_month, sources.contract_dim, cfg, wanted, cohort, top=2),
+            payer_ids(sources.member_month, sources.contract_dim, cfg, wanted, cohort),
             ("payer_patient_id",),
         )
-        codes = keep("crosswalk", crosswalk(sources.id_crosswalk, cfg, cohort))
-        with log.step("codes cut to their last characters") as step:
-            step.row_count = codes.where(F.col("code_length") > cfg.code_width).count()
+        codes = keep(
+            "crosswalk",
+            crosswalk(sources.id_crosswalk, cfg, cohort),
+            **{"codes cut to their last characters": F.col("code_length") > cfg.code_width},
+        )
         attribution = keep(
             "attribution",
             attribute(sources.member_provider, sources.provider_dim, as_of, cfg, cohort),
@@ -154,7 +170,9 @@ def run(
         stage = keep("stage", stage, ("person_id", "record_number", "provider_npi"))
         if cfg.on_overflow == "quarantine":
             stage, overflow = split_overflow(stage)
-            replace("roster_overflow", overflow)
+            with log.step("roster_overflow") as step:
+                write_of_run(step.count(overflow), paths.roster_overflow, run_id)
+            counts["roster_overflow"] = step.row_count
 
         routed = route(stage, cfg, sources.id_correction)
         current = replace(
@@ -163,36 +181,38 @@ def run(
         missing = replace("roster_missing_id", routed.missing)
         review = replace("roster_review", routed.review)
 
-        results = gates(missing, review, cfg.gate_threshold)
-        fired = tuple(row["gate"] for row in results.where("fired").collect())
-        message = F.lit(None).cast("string")
-        for gate, text in GATE_MESSAGES.items():
-            message = F.when(F.col("gate") == gate, text).otherwise(message)
-        write_snapshot(
-            results.where("fired").select(
-                F.lit(run_id).alias("run_id"),
-                F.lit(cfg.environment).alias("environment"),
-                "gate",
-                "n",
-                message.alias("message"),
-            ),
-            paths.alerts,
-        )
+        # The counts were taken while the tables were written.
+        found = {"missing_id": counts["roster_missing_id"], "review": counts["roster_review"]}
+        fired = tuple(gate for gate, n in found.items() if n > cfg.gate_threshold)
+        alerts = [
+            (cfg.environment, gate, found[gate], GATE_MESSAGES[gate]) for gate in fired
+        ]
+        write_of_run(spark.createDataFrame(alerts, ALERT_COLUMNS), paths.alerts, run_id)
         for gate in fired:
             log.log_step(ERROR, GATE_MESSAGES[gate])
-        if "review" in fired:
-            write_report(review, paths.report_review, REPORT_COLUMNS)
-        if "missing_id" in fired and cfg.report_missing:
-            write_report(missing, paths.report_missing_id, REPORT_COLUMNS)
+        write_report(
+            review.where(F.lit("review" in fired)),
+            f"{paths.report_review}/run_id={run_id}",
+            REPORT_COLUMNS,
+        )
+        if cfg.report_missing:
+            write_report(
+                missing.where(F.lit("missing_id" in fired)),
+                f"{paths.report_missing_id}/run_id={run_id}",
+                REPORT_COLUMNS,
+            )
 
         with log.step("roster_archive") as step:
-            append_archive(step.count(sent_rows(current)), paths.roster_archive, run_id)
+            sent = sent_rows(current).withColumn(
+                "sent_at", F.lit(clock().replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+            )
+            append_archive(step.count(sent), paths.roster_archive, run_id)
         counts["roster_archive"] = step.row_count
         with log.step("roster_file"):
-            write_report(current, paths.roster_file, ROSTER_FILE_COLUMNS)
+            write_report(current, f"{paths.roster_file}/{as_of:%Y%m%d}", ROSTER_FILE_COLUMNS)
+        publish(spark, root, versions)
         log.log_step("FINISH", "roster")
     finally:
-        append_log(log.frame(), paths.run_log)
         work.drop()
     if database is not None:
         register_outputs(spark, paths, database)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.config import RosterConfig
-from musterroll.functions.text import ci_prefix, joined_name
+from musterroll.functions.text import ci_prefix, distinct_folded, joined_name
 from musterroll.operators.joins import suppress, without_keys
 from musterroll.plans.identifiers import first_ids
 from musterroll.schemas import ROSTER_COLUMNS, STAGE_SCHEMA
@@ -35,7 +35,7 @@ def assemble(
 ) -> DataFrame:
     """One distinct row per member, first payer id and contract.
 
-    All four inputs meet on the member, so each is shuffled once at most and the
+    Rows that differ by case or trailing blanks only are one row. All four inputs meet on the member, so each is shuffled once at most and the
     distinct finds its rows already together. The historical id is the same on
     all rows of a member, so taking it along does not change what is distinct.
     """
@@ -55,7 +55,7 @@ def assemble(
         F.col("middle_name").alias("provider_middle_name"),
         joined_name("first_name", "middle_name", "last_name").alias("provider_full_name"),
     )
-    return (
+    rows = (
         cohort.select(*_DEMOGRAPHICS, "lob", "contract_name")
         .join(record_numbers, "patient_id", "left")
         .join(ids, "patient_id", "left")
@@ -63,8 +63,8 @@ def assemble(
         .withColumn("lob", F.coalesce("id_lob", "lob"))
         .withColumn("contract_name", F.coalesce("id_contract", "contract_name"))
         .select(*STAGE_SCHEMA.names)
-        .distinct()
     )
+    return distinct_folded(rows, [name for name in STAGE_SCHEMA.names if name != "patient_id"])
 
 
 @dataclass(frozen=True)
@@ -99,6 +99,14 @@ def route(stage: DataFrame, cfg: RosterConfig, corrections: DataFrame | None = N
     )
 
 
+def gate_counts(stage: DataFrame, cfg: RosterConfig) -> DataFrame:
+    """The two gates' counts in one pass over the stage: missing_id and review."""
+    return stage.agg(
+        F.count_if(F.col("person_id").isNull()).alias("missing_id"),
+        F.count_if(has_review_name(cfg)).alias("review"),
+    )
+
+
 def suppress_unreviewed(
     current: DataFrame, corrections: DataFrame, cfg: RosterConfig
 ) -> DataFrame:

@@ -106,6 +106,7 @@ def _row(*columns: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in columns])
 
 
+# The stage's columns and their greatest lengths.
 STAGE_SCHEMA = _row(
     ("patient_id", T.IntegerType()),
     ("person_id", T.VarcharType(50)),
@@ -140,7 +141,7 @@ REPORT_COLUMNS = ["record_number", "patient_id", "person_id", "historical_person
     name for name in ROSTER_COLUMNS if name not in ("record_number", "patient_id", "person_id")
 ]
 
-# The roster file: output heading -> roster column.
+# The roster file's headings, in order, and the roster columns under them.
 ROSTER_FILE_COLUMNS = {
     "Person ID": "record_number",
     "Historical Person ID": "historical_person_id",

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from typing import TYPE_CHECKING
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from musterroll.schemas import ROSTER_COLUMNS, RUN_LOG_SCHEMA, STAGE_SCHEMA
+from musterroll.sinks.writers import current_path
+
+if TYPE_CHECKING:
+    from musterroll.plans.roster import RosterPaths
 
 SNAPSHOT_SCHEMA = T.StructType([STAGE_SCHEMA[name] for name in ROSTER_COLUMNS])
 ARCHIVE_SCHEMA = T.StructType(
-    [*SNAPSHOT_SCHEMA.fields, T.StructField("subscriber_id", T.VarcharType(50), True)]
+    [
+        *SNAPSHOT_SCHEMA.fields,
+        T.StructField("subscriber_id", T.VarcharType(50), True),
+        T.StructField("sent_at", T.TimestampNTZType(), True),
+    ]
 )
 SNAPSHOT_TABLES = ("roster_current", "roster_missing_id", "roster_review")
 
@@ -28,14 +36,17 @@ def _create(spark: SparkSession, table: str, schema: T.StructType, path: str, by
     )
 
 
-def register_outputs(spark: SparkSession, paths: Mapping[str, str], database: str) -> None:
+def register_outputs(spark: SparkSession, paths: RosterPaths, database: str) -> None:
     """Make the outputs readable as ``database.<name>`` and up to date.
 
     Only the catalog changes: the tables are external, so dropping one leaves its
-    folder. The archive finds its runs again as partitions.
+    folder. A snapshot's table is moved to its current version. The archive finds its runs again as partitions.
     """
     for name in SNAPSHOT_TABLES:
-        _create(spark, f"{database}.{name}", SNAPSHOT_SCHEMA, paths[name])
+        current = current_path(spark, paths.root, name)
+        _create(spark, f"{database}.{name}", SNAPSHOT_SCHEMA, current)
+        quoted = current.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{quoted}'")
         spark.catalog.refreshTable(f"{database}.{name}")
     _create(spark, f"{database}.run_log", RUN_LOG_SCHEMA, paths["run_log"])
     spark.catalog.refreshTable(f"{database}.run_log")

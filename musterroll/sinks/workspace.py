@@ -43,9 +43,18 @@ class Workspace:
         df.write.mode("errorifexists").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def _folder(self):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
     def drop(self) -> None:
         """Remove this job's step tables; they hold personal data."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        configuration = self.spark._jsc.hadoopConfiguration()
-        folder.getFileSystem(configuration).delete(folder, True)
+        files, folder = self._folder()
+        files.delete(folder, True)
+
+    def drop_at_end(self) -> Workspace:
+        """Remove the folder when the session's JVM ends, for results read back lazily."""
+        files, folder = self._folder()
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        return self

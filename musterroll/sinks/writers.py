@@ -1,8 +1,9 @@
-"""Snapshots, the archive, the run log and tab-separated reports."""
+"""Versioned snapshots, the archive, the run log and tab-separated reports."""
 
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +16,52 @@ EMPTY_MARK = "\x01empty\x01"
 RUN_ID_PATTERN = re.compile(r"[A-Za-z0-9_.-]+")
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Replace the whole snapshot."""
-    df.write.mode("overwrite").parquet(path)
+VERSIONS = "name string, version string, published bigint"
 
 
-def _run_path(path: str, run_id: str) -> str:
+def check_run_id(run_id: str) -> str:
+    """``run_id``, which becomes part of paths."""
     if not RUN_ID_PATTERN.fullmatch(run_id):
         raise ValueError("run_id may hold letters, digits, '_', '.' and '-' only")
-    return f"{path.rstrip('/')}/run_id={run_id}"
+    return run_id
+
+
+def _run_path(path: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}/run_id={check_run_id(run_id)}"
+
+
+def version_path(path: str, version: str) -> str:
+    return f"{path.rstrip('/')}/version={version}"
+
+
+def write_version(df: DataFrame, path: str, version: str) -> None:
+    """A new version of a snapshot, beside the one that readers see."""
+    df.write.mode("errorifexists").parquet(version_path(path, version))
+
+
+def publish(spark: SparkSession, root: str, versions: Mapping[str, str]) -> None:
+    """Make new versions of snapshots below ``root`` the current ones, all at once.
+
+    One small file is added to ``versions``; until it is there, readers see the former
+    versions, which stay.
+    """
+    now = time.time_ns()
+    rows = [(name, version, now) for name, version in versions.items()]
+    pointers = spark.createDataFrame(rows, VERSIONS).coalesce(1)
+    pointers.write.mode("append").parquet(f"{root.rstrip('/')}/versions")
+
+
+def current_path(spark: SparkSession, root: str, name: str) -> str:
+    """The folder of the snapshot's current version."""
+    pointers = spark.read.schema(VERSIONS).parquet(f"{root.rstrip('/')}/versions")
+    version = pointers.where(F.col("name") == name).agg(F.max_by("version", "published")).first()[0]
+    if version is None:
+        raise LookupError(f"{name} has no version yet")
+    return version_path(f"{root.rstrip('/')}/{name}", version)
+
+
+def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.parquet(current_path(spark, root, name))
 
 
 def append_archive(df: DataFrame, path: str, run_id: str) -> None:
@@ -37,10 +75,19 @@ def append_archive(df: DataFrame, path: str, run_id: str) -> None:
 
 def read_archive(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The archive with its run_id, which is text even if it looks like a number."""
-    with_run = T.StructType([*schema.fields, T.StructField("run_id", T.StringType(), True)])
+    fields = [
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType)
+        for f in schema.fields
+    ]
+    with_run = T.StructType([*fields, T.StructField("run_id", T.StringType(), True)])
     return spark.read.schema(with_run).parquet(path)
 
 
+def write_of_run(df: DataFrame, path: str, run_id: str) -> None:
+    """What belongs to one run only, in its partition; a repeated run replaces it."""
+    df.write.mode("overwrite").parquet(_run_path(path, run_id))
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from typing import Any
 
@@ -11,12 +12,14 @@ from pyspark.sql import types as T
 
 from musterroll.schemas import FLAG, KIND_TYPES, SOURCE_COLUMNS
 
-# The remote copy of a table is the local one unless it is given.
+# A remote copy of each of these may be given; "local" as its source says that the local
+# table is to be used for it.
 REMOTE_COPIES = {
     "member_provider_remote": "member_provider",
     "provider_dim_remote": "provider_dim",
 }
 JDBC_REQUIRED = ("url", "dbtable")
+LOCAL = "local"
 JDBC_BOUNDS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
 
@@ -43,14 +46,20 @@ def check_source(df: DataFrame, name: str) -> DataFrame:
 
 
 def jdbc_options(spec: Mapping[str, Any]) -> dict[str, str]:
-    """Reader options of a remote table; a range split must be given whole."""
+    """Reader options of a remote table.
+
+    A table is read in ranges, all four bounds given, or says ``single_task: true`` if
+    it is small enough to be read by one task.
+    """
     lacking = [key for key in JDBC_REQUIRED if not spec.get(key)]
     if lacking:
         raise SourceError(f"remote source lacks {lacking}")
     given = [key for key in JDBC_BOUNDS if key in spec]
     if given and len(given) != len(JDBC_BOUNDS):
         raise SourceError(f"a parallel remote read needs all of {list(JDBC_BOUNDS)}")
-    options = {key: str(value) for key, value in spec.items()}
+    if not given and spec.get("single_task") is not True:
+        raise SourceError(f"a remote table needs {list(JDBC_BOUNDS)}, or single_task: true")
+    options = {key: str(value) for key, value in spec.items() if key != "single_task"}
     options.setdefault("fetchsize", "10000")
     return options
 
@@ -76,11 +85,20 @@ class RosterSources:
     is called, and the table checked, when the table is first used.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(
+        self,
+        tables: Mapping[str, DataFrame | Callable[[], DataFrame] | str],
+        periods: DataFrame | None = None,
+    ):
+        """``periods`` may give the ``yearmo`` values of member_month without its rows."""
         tables = dict(tables)
         for copy, original in REMOTE_COPIES.items():
-            if copy not in tables and original in tables:
-                tables[copy] = tables[original]
+            if isinstance(tables.get(copy), str):
+                if tables[copy] != LOCAL:
+                    raise SourceError(f"{copy} is a table or {LOCAL!r}")
+                if original in tables:
+                    tables[copy] = tables[original]
+        self._periods = periods
         absent = [name for name in SOURCE_COLUMNS if name not in tables]
         if absent:
             raise SourceError(f"sources not given: {absent}")
@@ -104,6 +122,11 @@ class RosterSources:
             raise AttributeError(name)
         return self[name]
 
+    @property
+    def periods(self) -> DataFrame:
+        """A table with all values of ``yearmo``: a partition list, or the months."""
+        return self.member_month if self._periods is None else self._periods
+
     def check(self) -> RosterSources:
         """Check all tables now, so that a job fails before it writes anything."""
         for name in SOURCE_COLUMNS:
@@ -111,5 +134,25 @@ class RosterSources:
         return self
 
 
-def load_sources(spark: SparkSession, specs: Mapping[str, Mapping[str, Any]]) -> RosterSources:
-    return RosterSources({name: read_source(spark, spec) for name, spec in specs.items()}).check()
+def partition_values(spark: SparkSession, table: str, column: str) -> DataFrame | None:
+    """The values of a catalog table's partition column, from the catalog alone."""
+    found = [c for c in spark.catalog.listColumns(table) if c.name == column and c.isPartition]
+    if not found:
+        return None
+    value = F.regexp_extract("partition", f"(?:^|/){re.escape(column)}=([^/]*)", 1)
+    return spark.sql(f"SHOW PARTITIONS {table}").select(
+        value.try_cast(found[0].dataType).alias(column)
+    )
+
+
+def load_sources(
+    spark: SparkSession, specs: Mapping[str, Mapping[str, Any] | str]
+) -> RosterSources:
+    tables = {
+        name: spec if isinstance(spec, str) else read_source(spark, spec)
+        for name, spec in specs.items()
+    }
+    months = specs.get("member_month")
+    months = months.get("table") if isinstance(months, Mapping) else None
+    periods = partition_values(spark, months, "yearmo") if months else None
+    return RosterSources(tables, periods).check()

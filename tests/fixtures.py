@@ -112,6 +112,10 @@ DEFAULT_ROWS = {
 }
 
 
+# The remote copies, where a test has no rows of their own for them.
+LOCAL_COPIES = {"member_provider_remote": "local", "provider_dim_remote": "local"}
+
+
 def sources(spark: SparkSession, **rows) -> RosterSources:
     """The default tables with some of them replaced."""
     unknown = set(rows) - set(SCHEMAS) - {"member_provider_remote", "provider_dim_remote"}
@@ -119,10 +123,10 @@ def sources(spark: SparkSession, **rows) -> RosterSources:
     tables = {
         name: frame(spark, name, rows.get(name, DEFAULT_ROWS[name])) for name in SCHEMAS
     }
-    for copy in ("member_provider_remote", "provider_dim_remote"):
+    for copy in LOCAL_COPIES:
         if copy in rows:
             tables[copy] = frame(spark, copy.removesuffix("_remote"), rows[copy])
-    return RosterSources(tables)
+    return RosterSources({**LOCAL_COPIES, **tables})
 
 
 def values(df: DataFrame, *columns: str) -> list[tuple]:

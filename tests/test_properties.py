@@ -18,7 +18,7 @@ from musterroll.plans.providers import attribute, employed_providers
 from musterroll.plans.roster import cohort_of, roster_stage
 from musterroll.plans.stage import route, suppress_unreviewed
 from musterroll.schemas import ROSTER_COLUMNS
-from tests.fixtures import OPEN, SCHEMAS, local_frame
+from tests.fixtures import LOCAL_COPIES, OPEN, SCHEMAS, local_frame
 
 MEMBERS = 40
 
@@ -111,12 +111,15 @@ def population(spark, request):
         marks = ", ".join("?" for _ in parts)
         connection.executemany(f"INSERT INTO {name} VALUES ({marks})", rows[name])
     frames = {name: local_frame(spark, rows[name], SCHEMAS[name]) for name in SCHEMAS}
-    return RosterSources(frames), connection
+    for copy in LOCAL_COPIES:
+        original = copy.removesuffix("_remote")
+        connection.execute(f"CREATE VIEW {copy} AS SELECT * FROM {original}")
+    return RosterSources({**LOCAL_COPIES, **frames}), connection
 
 
 def same(population, df, sql: str) -> int:
     _, connection = population
-    rows, problem = differences(df, connection, complete(sql, set(SCHEMAS)))
+    rows, problem = differences(df, connection, complete(sql, {*SCHEMAS, *LOCAL_COPIES}))
     assert problem is None
     return rows
 
@@ -134,7 +137,7 @@ def test_steps(population):
     same(population, override_codes(codes, data.id_blank, data.id_correction),
          f"{FINAL['correction_overlay']} WHERE patient_id IS NOT NULL")
     same(population, other_codes(data.id_crosswalk, codes, CONFIG),
-         f"{FINAL['other_codes']} AND x.individual_id IS NOT NULL")
+         f"{FINAL['other_codes']} AND patient_id IS NOT NULL")
     same(population, payer_ids(data.member_month, data.contract_dim, CONFIG, cohort=cohort),
          FINAL["payer_ids"])
     same(population, attribute(data.member_provider, data.provider_dim, AS_OF, CONFIG, cohort),

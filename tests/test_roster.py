@@ -9,15 +9,19 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from musterroll import run
+from musterroll import audit, run
 from musterroll.audit import GATE_MESSAGES, StepLog, gates
-from musterroll.schemas import ROSTER_COLUMNS, RUN_LOG_SCHEMA
+from musterroll.plans import roster
+from musterroll.schemas import REPORT_COLUMNS, ROSTER_COLUMNS, RUN_LOG_SCHEMA
 from musterroll.sinks import workspace
+from musterroll.sinks.writers import read_report, read_snapshot
 from tests.fixtures import (
     AS_OF,
     CONFIG,
     DEFAULT_ROWS,
+    LOCAL_COPIES,
     SCHEMAS,
     frame,
     local_frame,
@@ -68,15 +72,16 @@ def test_one_archive_append_in_every_branch(spark, tmp_path, n_missing, n_review
     assert result.counts["roster_missing_id"] == n_missing
     assert result.counts["roster_review"] == n_review
     archive = spark.read.parquet(result.paths.roster_archive)
-    assert values(archive, "patient_id", "subscriber_id", "run_id") == [
-        (i, None, "run-1") for i in (1, 2, 3)
+    assert values(archive, "patient_id", "subscriber_id", "run_id", "sent_at") == [
+        (i, None, "run-1", at_noon()) for i in (1, 2, 3)
     ]
     alerts = spark.read.parquet(result.paths.alerts)
     assert sorted(row["gate"] for row in alerts.collect()) == sorted(fired)
-    assert os.path.exists(result.paths.report_review) == ("review" in fired)
+    report = read_report(spark, f"{result.paths.report_review}/run_id=run-1", REPORT_COLUMNS)
+    assert report.count() == (n_review if "review" in fired else 0)
     assert not os.path.exists(result.paths.report_missing_id)
     messages = log_of(spark, result)
-    assert [m for c, m, _ in messages if c == "ERROR"] == [GATE_MESSAGES[g] for g in fired]
+    assert {m for c, m, _ in messages if c == "ERROR"} == {GATE_MESSAGES[g] for g in fired}
 
 
 def test_runs_outputs_and_log(spark, tmp_path):
@@ -108,17 +113,60 @@ def test_runs_outputs_and_log(spark, tmp_path):
         "roster_file": None,
         "roster": None,
     }
-    assert os.path.exists(first.paths.report_missing_id)
+    assert os.path.exists(f"{first.paths.report_missing_id}/run_id=run-1")
     assert values(spark.read.parquet(first.paths.alerts), "environment", "n") == [("TEST", 2)] * 2
-    report = spark.read.csv(first.paths.report_review, sep="\t", header=True)
+    report = spark.read.csv(f"{first.paths.report_review}/run_id=run-1", sep="\t", header=True)
     assert report.columns[:4] == ["record_number", "patient_id", "person_id", "historical_person_id"]
     assert values(report, "patient_id", "person_id") == [("21", "21"), ("22", "22")]
-    sent = spark.read.csv(first.paths.roster_file, sep="\t", header=True)
+    sent = spark.read.csv(f"{first.paths.roster_file}/{AS_OF:%Y%m%d}", sep="\t", header=True)
     assert sent.count() == 3 and sent.columns[0] == "Person ID"
     third = run(spark, population(spark, 0, 0), cfg, AS_OF, "run-2", root, at_noon)
     assert values(spark.read.parquet(third.paths.roster_archive).groupBy("run_id").count(),
                   "run_id", "count") == [("run-1", 3), ("run-2", 3)]
-    assert spark.read.parquet(third.paths.roster_missing_id).count() == 0
+    assert read_snapshot(spark, root, "roster_missing_id").count() == 0
+    # No alert of this run, and the former run's are still to be found under its id.
+    alerts = spark.read.parquet(third.paths.alerts).groupBy("run_id").count()
+    assert values(alerts, "run_id", "count") == [("run-1", 2)]
+    again = spark.read.csv(f"{first.paths.report_review}/run_id=run-2", sep="\t", header=True)
+    assert again.count() == 0
+
+
+def test_a_bad_run_id_touches_nothing(spark, tmp_path):
+    with pytest.raises(ValueError, match="run_id"):
+        run(spark, population(spark, 0, 0), CONFIG, AS_OF, "2024/03", str(tmp_path), at_noon)
+    assert os.listdir(tmp_path) == []
+
+
+def test_a_failed_run_leaves_the_snapshots_readable(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    run(spark, population(spark, 0, 0), CONFIG, AS_OF, "run-1", root, at_noon)
+
+    def fails(*_):
+        raise OSError("disk")
+
+    monkeypatch.setattr(workspace, "shared_folder", lambda _: str(tmp_path / "work"))
+    monkeypatch.setattr(roster, "append_archive", fails)
+    with pytest.raises(OSError, match="disk"):
+        run(spark, population(spark, 2, 0), CONFIG, AS_OF, "run-2", root, at_noon)
+    assert read_snapshot(spark, root, "roster_current").count() == 3
+    assert read_snapshot(spark, root, "roster_missing_id").count() == 0
+    assert os.listdir(tmp_path / "work" / "musterroll") == []
+    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/run_log").where("run_id = 'run-2'")
+    assert ("roster_archive: OSError",) in values(log.where("check_point = 'ERROR'"), "message")
+
+
+def test_a_broken_log_does_not_hide_the_error_or_keep_the_step_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_folder", lambda _: str(tmp_path / "work"))
+
+    def broken(df, path):
+        if df.where("check_point = 'ERROR'").count():
+            raise OSError("log")
+
+    monkeypatch.setattr(audit, "append_log", broken)
+    monkeypatch.setattr(roster, "assemble", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(spark, population(spark, 0, 0), CONFIG, AS_OF, "r", str(tmp_path / "out"), at_noon)
+    assert os.listdir(tmp_path / "work" / "musterroll") == []
 
 
 def test_outputs_as_catalog_tables(spark, tmp_path):
@@ -134,14 +182,14 @@ def test_outputs_as_catalog_tables(spark, tmp_path):
         assert set(r["run_id"] for r in spark.table("roster_test.run_log").collect()) == {"007", "008"}
     finally:
         spark.sql("DROP DATABASE IF EXISTS roster_test CASCADE")
-    assert spark.read.parquet(str(tmp_path / "roster_current")).count() == 3
+    assert read_snapshot(spark, str(tmp_path), "roster_current").count() == 3
 
 
 def test_no_months_at_all(spark, tmp_path):
     result = run(spark, sources(spark, member_month=[]), CONFIG, AS_OF, "r", str(tmp_path), at_noon)
     assert result.period is None
     assert result.counts["roster_current"] == result.counts["roster_archive"] == 0
-    assert spark.read.parquet(result.paths.roster_current).columns == ROSTER_COLUMNS
+    assert read_snapshot(spark, result.paths.root, "roster_current").columns == ROSTER_COLUMNS
 
 
 def test_overflow_fails_before_any_output_or_goes_to_quarantine(spark, tmp_path):
@@ -166,12 +214,12 @@ def test_step_tables_are_removed(spark, tmp_path, monkeypatch):
 
 @pytest.mark.parametrize("n,fires", [(0, False), (1, False), (2, True)])
 def test_gates(spark, n, fires):
-    df = spark.range(n)
-    got = gates(df, df)
+    df = spark.range(1).select(F.lit(n).alias("missing_id"), F.lit(n).alias("review"))
+    got = gates(df)
     assert values(got, "gate", "n", "threshold", "fired") == [
         ("missing_id", n, 1, fires), ("review", n, 1, fires),
     ]
-    assert values(gates(df, df, threshold=0), "fired") == [(n > 0,)] * 2
+    assert values(gates(df, threshold=0), "fired") == [(n > 0,)] * 2
 
 
 def test_a_failed_step_is_logged_without_its_text(spark):
@@ -184,7 +232,7 @@ def test_a_failed_step_is_logged_without_its_text(spark):
 def test_command_line(spark, tmp_path, capsys):
     from musterroll.__main__ import main
 
-    specs = {}
+    specs = dict(LOCAL_COPIES)
     for name in SCHEMAS:
         path = str(tmp_path / "in" / name)
         frame(spark, name, DEFAULT_ROWS[name]).write.parquet(path)

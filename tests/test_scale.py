@@ -18,7 +18,7 @@ from musterroll.plans.identifiers import crosswalk, payer_ids
 from musterroll.plans.providers import attribute, employed_providers
 from musterroll.plans.roster import roster_stage
 from musterroll.sinks.workspace import Workspace
-from tests.fixtures import AS_OF, CONFIG, SCHEMAS, local_frame, sources
+from tests.fixtures import AS_OF, CONFIG, LOCAL_COPIES, SCHEMAS, local_frame, sources
 
 
 def plan_of(df) -> str:
@@ -33,7 +33,7 @@ def stored(spark):
     tables = {name: work.keep(data[name], name) for name in SCHEMAS}
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield RosterSources(tables)
+    yield RosterSources({**LOCAL_COPIES, **tables})
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     work.drop()
 
@@ -109,7 +109,7 @@ def test_tables_bucketed_by_member_are_not_shuffled(spark, stored, tmp_path):
             table = f"roster_buckets.{name}"
             tables[name].write.bucketBy(4, key).sortBy(key).saveAsTable(table)
             tables[name] = spark.table(table)
-        bucketed = RosterSources(tables)
+        bucketed = RosterSources({**LOCAL_COPIES, **tables})
 
         def shuffles(data):
             return (

@@ -11,10 +11,12 @@ from musterroll.sinks.writers import (
     append_archive,
     append_log,
     header_union,
+    publish,
     read_archive,
     read_report,
+    read_snapshot,
     write_report,
-    write_snapshot,
+    write_version,
 )
 from tests.fixtures import local_frame, values
 
@@ -23,11 +25,18 @@ def rows(spark, *items):
     return local_frame(spark, list(items), "id int, name string")
 
 
-def test_snapshot_replaces(spark, tmp_path):
-    path = str(tmp_path / "s")
-    write_snapshot(rows(spark, (1, "a"), (2, "b")), path)
-    write_snapshot(rows(spark, (3, "c")), path)
-    assert values(spark.read.parquet(path), "id") == [(3,)]
+def test_a_published_version_is_the_snapshot(spark, tmp_path):
+    root = str(tmp_path)
+    write_version(rows(spark, (1, "a"), (2, "b")), f"{root}/s", "1")
+    publish(spark, root, {"s": "1", "other": "9"})
+    write_version(rows(spark, (3, "c")), f"{root}/s", "2")
+    assert values(read_snapshot(spark, root, "s"), "id") == [(1,), (2,)]
+    publish(spark, root, {"s": "2"})
+    assert values(read_snapshot(spark, root, "s"), "id") == [(3,)]
+    with pytest.raises(LookupError):
+        read_snapshot(spark, root, "never")
+    with pytest.raises(Exception, match="already exists"):
+        write_version(rows(spark), f"{root}/s", "2")
 
 
 def test_archive_holds_each_run_once(spark, tmp_path):

@@ -4,12 +4,28 @@ import pytest
 from pyspark.sql import functions as F
 
 from musterroll import RosterConfig, RosterSources, load_sources
-from musterroll.sources.catalog import SourceError, check_source, jdbc_options, read_source
-from tests.fixtures import CONFIG, DEFAULT_ROWS, SCHEMAS, frame, values
+from musterroll.plans.cohort import latest_period
+from musterroll.sources.catalog import (
+    SourceError,
+    check_source,
+    jdbc_options,
+    partition_values,
+    read_source,
+)
+from tests.fixtures import (
+    CONFIG,
+    DEFAULT_ROWS,
+    LOCAL_COPIES,
+    SCHEMAS,
+    frame,
+    local_frame,
+    values,
+)
 
 
 def tables(spark):
-    return {name: frame(spark, name, DEFAULT_ROWS[name]) for name in SCHEMAS}
+    given = {name: frame(spark, name, DEFAULT_ROWS[name]) for name in SCHEMAS}
+    return {**LOCAL_COPIES, **given}
 
 
 def test_only_needed_columns_are_read(spark):
@@ -68,6 +84,9 @@ def test_parquet_table_and_view(spark, tmp_path):
 def test_load_sources_checks_everything(spark):
     specs = {}
     for name, df in tables(spark).items():
+        if isinstance(df, str):
+            specs[name] = df
+            continue
         df.createOrReplaceTempView(f"t_{name}")
         specs[name] = {"table": f"t_{name}"}
     assert load_sources(spark, specs).member.count() == 1
@@ -79,7 +98,10 @@ def test_load_sources_checks_everything(spark):
 def test_remote_reads_split_on_a_whole_range():
     base = {"url": "jdbc:x://host/db", "dbtable": "dim"}
     split = {"partitionColumn": "provider_key", "lowerBound": 1, "upperBound": 10**9, "numPartitions": 64}
-    assert jdbc_options(base)["fetchsize"] == "10000"
+    small = jdbc_options({**base, "single_task": True})
+    assert small["fetchsize"] == "10000" and "single_task" not in small
+    with pytest.raises(SourceError, match="single_task"):
+        jdbc_options(base)
     assert jdbc_options({**base, **split})["numPartitions"] == "64"
     with pytest.raises(SourceError):
         jdbc_options({**base, "partitionColumn": "provider_key"})
@@ -87,6 +109,28 @@ def test_remote_reads_split_on_a_whole_range():
         jdbc_options({"url": "jdbc:x://host/db"})
 
 
+def test_remote_copies_are_never_assumed(spark):
+    given = {name: df for name, df in tables(spark).items() if not name.endswith("_remote")}
+    with pytest.raises(SourceError, match="member_provider_remote"):
+        RosterSources(given)
+    with pytest.raises(SourceError, match="local"):
+        RosterSources({**tables(spark), "provider_dim_remote": "elsewhere"})
+
+
+def test_periods_from_a_partition_list(spark, tmp_path):
+    months = local_frame(spark, [(1, 202401), (2, 202403)], "patient_id int, yearmo int")
+    name = "months_by_period"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        months.write.partitionBy("yearmo").option("path", str(tmp_path / "m")).saveAsTable(name)
+        periods = partition_values(spark, name, "yearmo")
+        assert latest_period(periods).first()[0] == 202403
+        assert "FileScan" not in periods._jdf.queryExecution().executedPlan().toString()
+        assert partition_values(spark, name, "patient_id") is None
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_config_from_json(tmp_path):
     path = tmp_path / "config.json"
     path.write_text(
