@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from musterroll.sinks.workspace import shared_folder
@@ -23,6 +27,25 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
+def small_batches(
+    batches: Iterable[pa.RecordBatch], column: str | int, most: int = 2 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``most`` bytes of ``column``.
+
+    What a task makes of a batch is many times its text, so memory follows the size of
+    these; a longer value is a batch by itself.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, cut from its lineage.
 

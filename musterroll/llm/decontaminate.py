@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from musterroll.llm.corpus import small_batches
+
 TERM = re.compile(r"\w+")
 SENTENCE_END = re.compile(r"[.!?]\s+|\n+")
 
@@ -39,7 +41,7 @@ class Decontamination:
     block: int = 16
     least_passage: int = 64
     max_item_bytes: int = 32 << 20
-    cells_at_once: int = 1 << 21
+    cells_at_once: int = 1 << 18
 
 
 def terms_of(text: str | None) -> list[str]:
@@ -218,7 +220,7 @@ def _searching(shared, place: int, column: int):
     """The task that adds one index's matches to those already in ``column``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, place):
             index = shared.value
             found = batch.column(column).to_pylist()
             for at, item, share, question, answer in index.matches(
