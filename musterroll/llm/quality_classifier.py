@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from musterroll.llm.corpus import small_batches
+
 
 @dataclass(frozen=True)
 class Training:
@@ -46,8 +48,9 @@ class Model:
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         x = (measures(texts, self.good, self.bad, self.level) - self.center) / self.scale
-        z = np.c_[np.ones(len(x)), x] @ self.weights
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        z = self.weights[0] + (x * self.weights[1:]).sum(axis=1)
+        # Rounded, so that a text's score does not depend on the batch it came in.
+        return np.round(1 / (1 + np.exp(-np.clip(z, -40, 40))), 9)
 
 
 _compressors: dict[tuple[int, int], zstandard.ZstdCompressor] = {}
@@ -178,7 +181,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             texts = [(text.as_py() or "").encode() for text in batch.column("text")]
             scores = pa.array(shared.value.scores(texts), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])

@@ -1,0 +1,210 @@
+"""The learnt operators and the WARC writer."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from musterroll.llm import language_id, quality_classifier, warc
+from musterroll.llm.queries import QUERIES
+
+PAGES = [
+    (1, "https://a.example.fr/x", '<html lang="fr-CA"><body><script>no</script><p>Bonjour &amp; salut</p></body></html>'),
+    (2, None, None),
+    (None, "", ""),
+    (3, "not an address", "plain words <b>with</b> a tag & more"),
+    (3, "not an address", "plain words <b>with</b> a tag & more"),
+    (4, "http://u:p@b.example.de:80/?q#f", "<HTML LANG=de><style>p</style><!-- <p>no</p> -->Guten<br/>Tag"),
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(*row, "x", "x") for row in PAGES]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, block string, host string")
+
+
+def parsed(path) -> list[tuple[dict, bytes]]:
+    """Records of all WARC files of a folder, cut by their content lengths."""
+    records = []
+    for file in sorted(path.glob("part-*")):
+        data, at = file.read_bytes(), 0
+        while at < len(data):
+            head, _, _ = data[at:].partition(b"\r\n\r\n")
+            lines = head.decode().split("\r\n")
+            assert lines[0] == "WARC/1.1"
+            fields = dict(line.split(": ", 1) for line in lines[1:])
+            start = at + len(head) + 4
+            end = start + int(fields["Content-Length"])
+            assert data[end : end + 4] == b"\r\n\r\n"
+            records.append((fields, data[start:end]))
+            at = end + 4
+    return records
+
+
+def test_warc_files(spark, pages, tmp_path):
+    source = warc.responses(pages, "2024-01-01T00:00:00Z")
+    made = warc.derivatives(source)
+    assert made.columns == warc.RECORD_COLUMNS
+    warc.write_warc(made, str(tmp_path / "w"))
+    records = parsed(tmp_path / "w")
+    assert len(records) == 2 * len(PAGES) == made.count()
+    responses = {r.record_id: r for r in source.collect()}
+    metadata = {f["WARC-Refers-To"]: b.decode() for f, b in records if f["WARC-Type"] == "metadata"}
+    for fields, block in records:
+        response = responses[fields["WARC-Refers-To"].strip("<>")]
+        body = response.block.split("\r\n\r\n", 1)[1]
+        assert fields["WARC-Target-URI"] == response.target_uri
+        assert fields["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
+        payload = "sha256:" + hashlib.sha256(body.encode()).hexdigest()
+        assert fields["WARC-Source-Payload-Digest"] == payload
+        linked = metadata[fields["WARC-Refers-To"]]
+        assert "http-header: Content-Type: text/html; charset=utf-8\r\n" in linked
+        assert f"source-payload-digest: {payload}\r\n" in linked
+        if fields["WARC-Type"] == "conversion":
+            assert f"conversion: {fields['WARC-Record-ID']}\r\n" in linked
+    texts = Counter(b.decode() for f, b in records if f["WARC-Type"] == "conversion")
+    assert texts == Counter(
+        {"Bonjour & salut": 1, "": 2, "plain words with a tag & more": 2, "Guten\nTag": 1}
+    )
+
+
+def test_warc_other_responses(spark):
+    rows = [
+        ("a", "u", "d", "HTTP/1.1 404 Not Found\r\nContent-Type: Text/Plain; x\r\nX: 1\r\n\r\n a <b> \r\n\r\nc"),
+        ("b", "u", "d", "HTTP/1.1 200 OK\r\ncontent-type: image/png\r\n\r\nbytes"),
+        ("c", None, None, "no head at all"),
+        (None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "record_id string, target_uri string, date string, block string")
+    got = {(r.refers_to, r.warc_type): r.block for r in warc.derivatives(df).collect()}
+    assert set(got) == {(i, "metadata") for i in ("a", "b", "c", "")} | {
+        (i, "conversion") for i in ("a", "c", "")
+    }
+    assert got["a", "conversion"] == " a <b> \r\n\r\nc"
+    assert got["c", "conversion"] == "no head at all"
+    assert got["a", "metadata"].startswith(
+        "http-status: HTTP/1.1 404 Not Found\r\nhttp-header: Content-Type: Text/Plain; x\r\nhttp-header: X: 1\r\n"
+    )
+    assert "conversion:" not in got["b", "metadata"]
+    assert warc.derivatives(df.where("false")).count() == 0
+
+
+def test_language_of_pages(spark, sf_dir):
+    rows = QUERIES["op8_language_id"](spark, sf_dir).collect()
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    assert len(rows) == len(urls)
+    right = [re.search(r"//[^/]+/(\w+)/", urls[r.page_id])[1] == r.lang for r in rows]
+    assert sum(right) / len(right) > 0.95
+    assert all(0 < r.probability <= 1 + 1e-9 for r in rows)
+
+
+def test_text_likelihoods_on_held_out_documents(spark, documents):
+    """Text alone, on documents that the model has not seen."""
+    train = documents.where("doc_id % 2 = 0")
+    model = language_id.fit(train)
+    rows = documents.where("doc_id % 2 = 1 and length(text) > 60").select("lang", "text")
+    found = language_id.text_likelihoods(rows, model, language_id.Fusion()).collect()
+    right = [model.languages[int(np.argmax(r.loglik))] == r.lang for r in found]
+    assert len(right) > 50 and sum(right) / len(right) > 0.97
+
+
+def plain_fusion(rows, names, settings):
+    """The same formula, page by page."""
+    p = [np.exp(np.array(r["loglik"]) - max(r["loglik"])) for r in rows]
+    p = [x / x.sum() for x in p]
+    total, n = sum(p), len(rows)
+    overall = (total + 1) / (n + len(names))
+    sums = {k: defaultdict(lambda: np.zeros(len(names))) for k in ("host", "domain", "declared", "suffix")}
+    counts = {k: Counter(r[k] for r in rows) for k in sums}
+    for r, x in zip(rows, p):
+        for k in sums:
+            sums[k][r[k]] = sums[k][r[k]] + x
+    result = []
+    for r, x in zip(rows, p):
+        def smoothed(key, before, weight):
+            rest = np.maximum(sums[key][r[key]] - x, 0)
+            return (rest + weight * before) / (counts[key][r[key]] - 1 + weight)
+
+        def evidence(key):
+            w = settings.evidence_pages
+            rest = np.maximum(sums[key][r[key]] - x, 0) + w * counts[key][r[key]] / n
+            return np.log(rest / (np.maximum(total - x, 0) + w))
+
+        prior = smoothed("host", smoothed("domain", overall, settings.domain_pages), settings.host_pages)
+        logs = np.array(r["loglik"]) + np.log(prior) + evidence("declared") + evidence("suffix")
+        logs = np.exp(logs - logs.max())
+        result.append((names[int(np.argmax(logs))], logs.max() / logs.sum()))
+    return result
+
+
+def test_fusion_against_plain_computation(spark, documents, pages):
+    settings = language_id.Fusion()
+    model = language_id.fit(documents, settings)
+    got = Counter(
+        (r.page_id, r.lang, round(r.probability, 6), r.declared)
+        for r in language_id.languages(pages, model, settings).collect()
+    )
+    base = pages.select(
+        "page_id",
+        language_id.declared_language().alias("declared"),
+        *[c.alias(k) for k, c in language_id.parts_of_address().items()],
+        warc.plain_text(pages.html).alias("text"),
+    )
+    rows = [r.asDict() for r in language_id.text_likelihoods(base, model, settings).collect()]
+    want = Counter(
+        (r["page_id"], lang, round(share, 6), r["declared"])
+        for r, (lang, share) in zip(rows, plain_fusion(rows, model.languages, settings))
+    )
+    assert got == want
+    assert [r["declared"] for r in rows if r["page_id"] in (1, 4)] == ["fr", "de"]
+    assert {r["suffix"] for r in rows} == {"fr", "de", ""}
+    assert language_id.languages(pages.where("false"), model).count() == 0
+    empty = language_id.languages(pages, language_id.fit(documents.where("false")))
+    assert empty.where("lang is null").count() == len(PAGES)
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, sf_dir):
+    folder = sf_dir.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return folder, docs, labels
+
+
+def test_quality_on_held_out_labels(spark, labelled):
+    folder, _, labels = labelled
+    rows = QUERIES["op9_quality_classifier"](spark, folder).collect()
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    held = [(r.score, r.predicted, quality[r.doc_id]) for r in rows if r.held_out and r.doc_id in quality]
+    good, bad = ([s for s, _, q in held if q == label] for label in (1, 0))
+    wins = sum((g > b) + 0.5 * (g == b) for g in good for b in bad)
+    assert wins / (len(good) * len(bad)) > 0.85
+    assert sum(p == q for _, p, q in held) / len(held) > 0.85
+
+
+def test_scores_of_odd_rows(spark, labelled, odd, nothing):
+    _, docs, labels = labelled
+    model = quality_classifier.fit(docs, labels)
+    rows = quality_classifier.scored(odd, model).collect()
+    assert len(rows) == odd.count()
+    assert all(0 <= r.score <= 1 and not math.isnan(r.score) for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
+    assert len({r.score for r in rows if r.doc_id == 7}) == 1
+    assert quality_classifier.scored(nothing, model).count() == 0
+    with pytest.raises(ValueError, match="both labels"):
+        quality_classifier.fit(docs, labels.where("quality = 1"))
+    odd_labels = spark.createDataFrame(
+        [(1, 1), (None, 0), (2, None), (3, 7), (4, 0), (6, 1), (6, 1)], "doc_id long, quality int"
+    )
+    with pytest.raises(ValueError, match="both labels"):
+        quality_classifier.fit(nothing, odd_labels)
