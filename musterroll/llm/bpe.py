@@ -17,14 +17,15 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from musterroll.llm.corpus import small_batches
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -68,10 +69,16 @@ def boundaries(chunk: str, pattern: str, last: bool) -> list[int]:
 def _encoding_task(path: str, pattern: str, place: int, column: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path, pattern).encode_ordinary
-        for batch in batches:
-            ids = [encode(text.as_py() or "") for text in batch.column(place)]
+        for batch in small_batches(batches, place):
+            ids = [
+                np.array(encode(text.as_py() or ""), np.int32) for text in batch.column(place)
+            ]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]))
+            )
             field = batch.schema.field(column)
-            yield batch.set_column(column, field, pa.array(ids, field.type))
+            yield batch.set_column(column, field, lists.cast(field.type))
 
     return run
 
@@ -81,7 +88,7 @@ def _splitting_task(pattern: str, chunks: Chunks):
     size, overlap = chunks.size, chunks.overlap
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             for row in batch.to_pylist():
                 text = row["text"]
                 count = (len(text) - 1) // size + 1
@@ -100,7 +107,7 @@ def _splitting_task(pattern: str, chunks: Chunks):
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int32())
-        for batch in batches:
+        for batch in small_batches(batches, "chunk"):
             heads, tails = [], []
             for k, last, chunk in zip(
                 batch.column("k").to_pylist(),
@@ -204,35 +211,33 @@ def encoded(
     return whole.union(joined)
 
 
-def _decoding_task(path: str, pattern: str, place: int, column: int):
+def _decoding_task(path: str, place: int, column: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = encoding(path, pattern).decode_bytes
-        for batch in batches:
-            data = [decode(ids.as_py() or []) for ids in batch.column(place)]
-            field = batch.schema.field(column)
-            yield batch.set_column(column, field, pa.array(data, field.type))
+        table = {i: piece for piece, i in load_ranks(path).items()}.__getitem__
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                ids = [i.values.to_numpy() if i.is_valid else () for i in batch.column(place)]
+                made = [
+                    [b"".join(map(table, values.tolist() if len(values) else ())) for values in ids],
+                    [np.asarray(values, "<u4").tobytes() for values in ids],
+                ]
+                for offset, data in enumerate(made):
+                    field = batch.schema.field(column + offset)
+                    batch = batch.set_column(column + offset, field, pa.array(data, field.type))
+                yield batch
 
     return run
 
 
-def decoded(
-    ids: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN
-) -> DataFrame:
-    """``ids`` with the column ``bytes``: the bytes of its ``ids`` column, joined.
+def decoded(ids: DataFrame, path: str = RANKS) -> DataFrame:
+    """``ids`` with two columns: ``bytes``, those of its ``ids`` column joined, and
+    ``packed``, the ids as little-endian unsigned 32-bit integers.
 
-    NULL and empty lists give no bytes; a column named bytes is replaced; an id
+    NULL and empty lists give no bytes; columns of these names are replaced; an id
     outside the vocabulary is an error.
     """
-    result = ids.withColumn("bytes", F.lit(b""))
-    task = _decoding_task(path, pattern, ids.columns.index("ids"), result.columns.index("bytes"))
+    plain = ids.drop("bytes", "packed")
+    result = plain.withColumns({"bytes": F.lit(b""), "packed": F.lit(b"")})
+    task = _decoding_task(path, plain.columns.index("ids"), len(plain.columns))
     return result.mapInArrow(task, result.schema)
-
-
-def little_endian(ids: str) -> Column:
-    """The ids as little-endian unsigned 32-bit integers, one after the other."""
-
-    @F.pandas_udf("binary")
-    def packed(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda values: np.asarray(values, "<u4").tobytes())
-
-    return packed(F.coalesce(ids, F.expr("cast(array() as array<int>)")))

@@ -27,8 +27,7 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Token count and digests of the ids and of the decoded bytes of each document."""
-    ids = bpe.decoded(bpe.encoded(docs)).withColumn("packed", bpe.little_endian("ids"))
-    return ids.select(
+    return bpe.decoded(bpe.encoded(docs)).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"),
