@@ -15,7 +15,7 @@ import time
 
 from checks.compare import oracle_connection
 from checks.oracle import ORACLE_SQL
-from checks.queries import QUERIES
+from checks.queries import QUERIES, written
 from musterroll.session import roster_session
 
 HEADLINE = [
@@ -69,6 +69,9 @@ def main() -> None:
     def whole(name):
         return lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
+    def planned(name):
+        return lambda: QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan()
+
     queries = {name: median(whole(name), runs) for name in names}
     result = {
         "metric": "roster_queries_total",
@@ -76,6 +79,10 @@ def main() -> None:
         "unit": "sec",
         "queries": queries,
         "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf"),
+        # Parts of the times above that go into making the plans.
+        "plans": {name: median(planned(name), runs) for name in names},
+        # The job that writes its steps and outputs, once.
+        "job": {"run": median(lambda: written(spark, sf_dir), 1)},
     }
     if "--oracle" in sys.argv:
         connection = oracle_connection(sf_dir)
