@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from musterroll.config import RosterConfig
@@ -31,21 +31,25 @@ def contract_months(
     cfg: RosterConfig,
     period: int | Column | None = None,
 ) -> DataFrame:
-    """Members of the chosen contracts with the number of months behind each row."""
+    """Members of the chosen contracts with the number of months behind each row.
+
+    Names that fold alike get one spelling in the short contract table, so the long
+    fact is grouped by plain values, in a hash table, before it is shuffled.
+    """
+    alike = Window.partitionBy(fold("lob"), fold("contract_name"))
     contracts = contract_dim.where(
         (F.col("is_contracted") == 1) & ci_in("contract_name", cfg.contract_names)
-    ).select("contract_key", "lob", "contract_name")
+    ).select(
+        "contract_key",
+        F.min("lob").over(alike).alias("lob"),
+        F.min("contract_name").over(alike).alias("contract_name"),
+    )
     return (
         in_period(member_month, period)
         .select("patient_id", "contract_key")
         .join(contracts, "contract_key")
-        .groupBy("patient_id", fold("lob").alias("_lob"), fold("contract_name").alias("_name"))
-        .agg(
-            F.min("lob").alias("lob"),
-            F.min("contract_name").alias("contract_name"),
-            F.count(F.lit(1)).alias("months"),
-        )
-        .drop("_lob", "_name")
+        .groupBy("patient_id", "lob", "contract_name")
+        .agg(F.count(F.lit(1)).alias("months"))
     )
 
 
