@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from musterroll.llm.corpus import small_batches
+
 try:
     from re import _constants as sre
     from re import _parser as sre_parse
@@ -163,8 +165,8 @@ class Block:
         self.size, self.postings = len(texts), {}
         places: list[np.ndarray] = []
         grams: list[np.ndarray] = []
-        for at in range(0, len(raw) - 2, 1 << 22):  # bounds memory; the parts overlap
-            part = raw[at : at + (1 << 22) + 2].astype(np.uint32)
+        for at in range(0, len(raw) - 2, 1 << 20):  # bounds memory; the parts overlap
+            part = raw[at : at + (1 << 20) + 2].astype(np.uint32)
             code = (part[:-2] << 14) | (part[1:-1] << 7) | part[2:]
             ascii_only = (part[:-2] | part[1:-1] | part[2:]) < 128
             hit = np.flatnonzero(wanted[np.where(ascii_only, code, 0)])
@@ -229,28 +231,12 @@ def _search(rule: Rule):
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
-LETTERS_AT_ONCE = 1 << 23
-
-
-def _blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Consecutive texts of some 8 million characters together, with their place."""
-    at = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= LETTERS_AT_ONCE:
-            yield at, texts[at : k + 1]
-            at, size = k + 1, 0
-    if at < len(texts):
-        yield at, texts[at:]
-
-
 def _scanning(rules: tuple[Rule, ...], place: int, column: int, masked: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Each of these batches is a block with an index of its own.
+        for batch in small_batches(batches, place):
             texts = batch.column(place).to_pylist()
-            spans: list[list[tuple[int, int, int]]] = []
-            for _, block in _blocks([text or "" for text in texts]):
-                spans += scan(block, rules)
+            spans = scan([text or "" for text in texts], rules)
             if masked:
                 texts = [
                     mask(text, found, rules) if found else text
@@ -304,9 +290,9 @@ def digest_columns(spans: str = "spans") -> dict[str, F.Column]:
             F.transform(array, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ","
         )
 
-    counts = {
-        f"n_{name}": F.size(F.filter(spans, lambda s, name=name: s.kind == name)).cast("long")
-        for name in names
-    }
+    def count(name: str) -> F.Column:
+        return F.size(F.filter(spans, lambda s: s.kind == name)).cast("long")
+
+    counts = {f"n_{name}": count(name) for name in names}
     base = F.filter(spans, lambda s: s.kind.isin(names))
     return {**counts, "base_sha256": F.sha2(joined(base), 256), "spans": joined(F.col(spans))}

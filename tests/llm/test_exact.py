@@ -406,6 +406,21 @@ SECRETS = [
 ]
 
 
+def test_secret_digests(spark):
+    df = spark.createDataFrame(list(enumerate(SECRETS)), "doc_id long, text string")
+    columns = secrets.digest_columns()
+    rows = secrets.with_secrets(df).select("doc_id", *[c.alias(k) for k, c in columns.items()]).collect()
+    kinds = [rule.kind for rule in secrets.RULES]
+    for r in rows:
+        spans = plain_base_spans(SECRETS[r.doc_id])
+        joined = ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)
+        assert r.base_sha256 == sha(joined.encode())
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == n for _, k, _ in spans) for n in range(3)]
+        every = secrets.scan([SECRETS[r.doc_id]])[0]
+        assert r.spans == ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in every)
+    assert sum(r.n_assign for r in rows) and sum(r.n_access for r in rows) and sum(r.n_hex for r in rows)
+
+
 def test_secrets_against_full_scans(spark):
     want = []
     for text in SECRETS:
