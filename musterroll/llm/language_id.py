@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from musterroll.llm.corpus import stored
+from musterroll.llm.corpus import small_batches, stored
 from musterroll.llm.warc import plain_text
 
 BUCKETS = 1 << 16
@@ -94,7 +94,7 @@ def text_likelihoods(pages: DataFrame, model: TextModel, settings: Fusion) -> Da
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value.table
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             rows = []
             for text in batch.column("text"):
                 at = trigram_buckets(text.as_py() or "")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.llm.components import components
-from musterroll.llm.corpus import stored, words_of
+from musterroll.llm.corpus import small_batches, stored, words_of
 
 SHINGLE_WORDS = 3
 HASH_SEED = 42
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, fp`` per row of ``docs``; NULL text has fingerprint 0."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             values = [fingerprint(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"]
