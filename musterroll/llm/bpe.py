@@ -157,7 +157,11 @@ def encoded(
         .withColumn("key", F.sha2("text", 256))
         .mapInArrow(cut, "doc_id long, key string, k int, last boolean, chunk string")
         .groupBy("doc_id", "key", "k")
-        .agg(F.first("last").alias("last"), F.first("chunk").alias("chunk"), F.count("k").alias("copies"))
+        .agg(
+            F.first("last").alias("last"),
+            F.first("chunk").alias("chunk"),
+            F.count("k").alias("copies"),
+        )
         .mapInArrow(
             split,
             "doc_id long, key string, k int, last boolean, chunk string, copies long, "
@@ -180,6 +184,7 @@ def encoded(
         .when(F.col("next").isNull(), (F.col("k") + 1) * size)
         .otherwise(F.col("next"))
     )
+    first, length = F.col("since") - F.col("k") * size + 1, upto - F.col("since")
     pieces = (
         stitched.withColumn("since", F.coalesce("begin", F.col("k") * size))
         .select(
@@ -188,7 +193,7 @@ def encoded(
             "piece",
             "k",
             "copies",
-            F.substring("chunk", F.col("since") - F.col("k") * size + 1, upto - F.col("since")).alias("part"),
+            F.substring("chunk", first, length).alias("part"),
         )
         .groupBy("doc_id", "key", "piece")
         .agg(

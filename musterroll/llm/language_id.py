@@ -60,12 +60,17 @@ def fit(docs: DataFrame, settings: Fusion = Fusion()) -> TextModel:
     """The text model from ``docs`` (doc_id, text, lang): per language the rows with the
     least hash of doc_id. Rows with a NULL or empty field are not used."""
     rows = docs.where("text <> '' and lang <> '' and doc_id is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", "lang"), 256).alias("part"))
+    # Parts of a language first, so that one task meets a bounded number of its rows.
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = (
+            chosen.withColumn("n", F.row_number().over(order))
+            .where(F.col("n") <= settings.per_language)
+            .drop("n")
+        )
     chosen = (
-        rows.select("doc_id", "lang")
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= settings.per_language)
-        .select("doc_id", F.col("lang").alias("language"))
+        chosen.select("doc_id", F.col("lang").alias("language"))
         .orderBy("language", "doc_id")
         .limit(settings.per_language * settings.most_languages)
     )
@@ -184,7 +189,7 @@ def languages(
     overall = [((s or 0.0) + 1) / (total["n"] + n) for s in total["sums"]]
     for key in ("host", "domain", "declared", "suffix"):
         rows = rows.join(_sums(rows, key, n), key)
-    prior = F.array(*[F.lit(x) for x in overall])
+    prior, pages_in_all = F.array(*[F.lit(x) for x in overall]), float(max(1, total["n"]))
     language_sums = F.array(*[F.lit(x or 0.0) for x in total["sums"]])
 
     def smoothed(key: str, before: str, weight: float) -> Column:
@@ -199,7 +204,7 @@ def languages(
         weight = settings.evidence_pages
         return F.expr(
             f"""transform(language_sums, (x, i) -> ln(
-                  (greatest({key}_sums[i] - p[i], 0d) + {weight}d * {key}_n / {float(max(1, total["n"]))}d)
+                  (greatest({key}_sums[i] - p[i], 0d) + {weight}d * {key}_n / {pages_in_all}d)
                   / (greatest(x - p[i], 0d) + {weight}d)))"""
         )
 

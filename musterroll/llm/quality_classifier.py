@@ -25,8 +25,8 @@ from musterroll.llm.corpus import small_batches
 class Training:
     """Bounds of the labelled sample: ``per_label`` texts for each dictionary and
     ``calibration`` texts for the calibration, of at most ``bytes_each`` and
-    ``calibration_bytes`` bytes (only training texts are cut; scored texts are whole). ``ridge`` is the penalty on
-    the calibration's weights."""
+    ``calibration_bytes`` bytes (only training texts are cut; scored texts are whole).
+    ``ridge`` is the penalty on the calibration's weights."""
 
     per_label: int = 1_200
     calibration: int = 3_000

@@ -14,6 +14,10 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import product
 
+# Python's own parser of regular expressions.
+from re import _constants as sre
+from re import _parser as sre_parse
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,13 +25,6 @@ from pyspark.sql import functions as F
 
 from musterroll.llm.corpus import small_batches
 
-try:
-    from re import _constants as sre
-    from re import _parser as sre_parse
-except ImportError:  # before Python 3.11
-    import sre_constants as sre
-    import sre_parse
-
 # A query is None (always true), a trigram, or ("and" | "or", parts).
 MOST_STRINGS = 64
 
@@ -60,7 +57,11 @@ BASE_RULES = (
 )
 # Further well-known shapes; they add spans and never take one away.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?"),
+    Rule(
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*"
+        r"(?:-----END [A-Z ]*PRIVATE KEY-----)?",
+    ),
     Rule("code_host", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),

@@ -115,7 +115,9 @@ def links(groups: DataFrame) -> DataFrame:
         *[
             F.struct(
                 F.lit(k).alias("k"),
-                F.col("fp").bitwiseAND(F.lit(_signed(~((0xFF << 8 * i) | (0xFF << 8 * j))))).alias("key"),
+                F.col("fp")
+                .bitwiseAND(F.lit(_signed(~((0xFF << 8 * i) | (0xFF << 8 * j)))))
+                .alias("key"),
             )
             for k, (i, j) in enumerate(FREE_BYTES)
         ]
