@@ -34,7 +34,7 @@ class Unigram:
     path: str = RANKS
     pattern: str = public_tokenizers.PATTERN
     unknown: int = -30_000_000
-    most_nodes: int = 400_000
+    most_nodes: int = 1_000_000
     depth: int = 128
 
 
@@ -47,52 +47,62 @@ def piece_scores(path: str) -> dict[bytes, int]:
     }
 
 
-class Trie:
-    """Forward scores of prefixes. Ties go to fewer pieces."""
+PIECES = 1 << 32
+
+
+def unpacked(value: int) -> tuple[int, int]:
+    """Score and number of pieces of ``score * PIECES - pieces``; such numbers compare
+    by score, then by fewer pieces, and add up."""
+    pieces = -value % PIECES
+    return (value + pieces) // PIECES, pieces
+
+
+class Trie(dict):
+    """pre-token -> packed score and count, from the forward scores of its prefixes.
+
+    A node of the trie is a prefix; ``forward`` has its best score. Ties go to fewer
+    pieces. All is forgotten when there are ``most_nodes`` prefixes.
+    """
 
     def __init__(self, settings: Unigram):
         self.settings = settings
-        self.scores = piece_scores(settings.path)
-        self.longest = max(map(len, self.scores), default=1)
-        self.clear()
-
-    def clear(self) -> None:
+        scores = piece_scores(settings.path)
+        self.scores = {piece: score * PIECES - 1 for piece, score in scores.items()}
+        self.unknown = settings.unknown * PIECES - 1
+        self.longest = max(map(len, scores), default=1)
         self.child: dict[int, int] = {}
-        self.forward: list[tuple[int, int]] = [(0, 0)]  # score, less the pieces
-        self.terminal: dict[str, tuple[int, int]] = {}
-
-    def count(self, token: str) -> tuple[int, int]:
-        """Score and number of pieces of a pre-token."""
-        found = self.terminal.get(token)
-        if found is None:
-            if len(self.forward) > self.settings.most_nodes or len(self.terminal) > 1_000_000:
-                self.clear()
-            score, pieces = self._insert(token.encode())
-            self.terminal[token] = found = (score, -pieces)
-        return found
-
-    def _insert(self, word: bytes) -> tuple[int, int]:
-        node, path = 0, [self.forward[0]]
-        for end in range(1, len(word) + 1):
-            if end > self.settings.depth:
+        self.forward = [0]
+
+    def __missing__(self, token: str) -> int:
+        if len(self.forward) > self.settings.most_nodes:
+            self.clear()
+            self.child.clear()
+            self.forward = [0]
+        self[token] = value = self._insert(token.encode())
+        return value
+
+    def _insert(self, word: bytes) -> int:
+        child, forward, depth = self.child, self.forward, self.settings.depth
+        node, path = 0, [0]
+        for end, byte in enumerate(word, 1):
+            if end > depth:
                 path.append(self._best(word, end, path))
                 continue
-            edge = node << 8 | word[end - 1]
-            node = self.child.get(edge)
+            edge = node << 8 | byte
+            node = child.get(edge)
             if node is None:
-                node = self.child[edge] = len(self.forward)
-                self.forward.append(self._best(word, end, path))
-            path.append(self.forward[node])
+                node = child[edge] = len(forward)
+                forward.append(self._best(word, end, path))
+            path.append(forward[node])
         return path[-1]
 
-    def _best(self, word: bytes, end: int, path: list[tuple[int, int]]) -> tuple[int, int]:
-        score, pieces = path[end - 1]
-        best = (score + self.scores.get(word[end - 1 : end], self.settings.unknown), pieces - 1)
+    def _best(self, word: bytes, end: int, path: list[int]) -> int:
+        get = self.scores.get
+        best = path[end - 1] + get(word[end - 1 : end], self.unknown)
         for start in range(max(0, end - self.longest), end - 1):
-            more = self.scores.get(word[start:end])
-            if more is not None:
-                score, pieces = path[start]
-                best = max(best, (score + more, pieces - 1))
+            more = get(word[start:end])
+            if more is not None and path[start] + more > best:
+                best = path[start] + more
         return best
 
 
@@ -110,11 +120,9 @@ def token_counts(docs: DataFrame, settings: Unigram = Unigram()) -> DataFrame:
             rows: list[list[int]] = [[], [], []]
             for text in batch.column("text"):
                 tokens = split.findall(text.as_py() or "")
-                known = trie.terminal
-                found = [known.get(t) or trie.count(t) for t in tokens]
-                rows[0].append(len(tokens))
-                rows[1].append(sum(pieces for _, pieces in found))
-                rows[2].append(sum(score for score, _ in found))
+                score, pieces = unpacked(sum(map(trie.__getitem__, tokens)))
+                for row, value in zip(rows, (len(tokens), pieces, score)):
+                    row.append(value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(r, pa.int64()) for r in rows)],
                 ["doc_id", "n_pretokens", "n_tokens", "score"],
