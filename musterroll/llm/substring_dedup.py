@@ -44,16 +44,27 @@ class Passages:
 
 
 class WordHashes(dict):
-    """word -> its two 64-bit hashes; forgets all when it grows large."""
+    """word -> its place in ``lanes``, two 64-bit hashes of each word met."""
 
     MOST = 500_000
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __init__(self):
+        self.lanes = np.zeros((2, 1 << 16), np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        value, place = xxhash.xxh3_128_intdigest(word), len(self)
+        if place == self.lanes.shape[1]:
+            self.lanes = np.concatenate([self.lanes, np.zeros_like(self.lanes)], axis=1)
+        self.lanes[:, place] = value >> 64, value & MASK
+        self[word] = place
+        return place
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The two rows of hashes of ``words``; forgets all beforehand if it has many."""
         if len(self) >= self.MOST:
             self.clear()
-        value = xxhash.xxh3_128_intdigest(word)
-        self[word] = pair = (value >> 64, value & MASK)
-        return pair
+        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.lanes[:, places]
 
 
 class Powers:
@@ -90,10 +101,8 @@ class Hasher:
         self.words = WordHashes()
         self.powers = [Powers(base) for base in BASE]
 
-    def lanes(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        found = [self.words[word] for word in words_of(text)]
-        pairs = np.array(found, np.uint64).reshape(-1, 2)
-        return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
+    def lanes(self, text: str | None) -> np.ndarray:
+        return self.words.of(words_of(text))
 
     def anchors(self, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and hashes of the anchors of a document."""
