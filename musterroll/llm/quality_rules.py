@@ -100,50 +100,33 @@ def failures(rules: HostRules) -> dict[str, F.Column]:
 
 
 def failed_hosts(judged: DataFrame, rules: HostRules) -> DataFrame:
-    """``host`` of every host that fails: one row of counts a host, one of moments.
+    """``host`` of every host that fails, from one row of counts a host.
 
     Per rule the prior has the mean failure rate of all documents and a strength
     from the spread of the hosts' rates (method of moments, by documents).
     """
-    hosts = judged.groupBy("host").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(r)).alias(r) for r in RULES]
-    )
-    one = F.lit(1).alias("one")
-    means = hosts.agg(
-        one, F.sum("n").alias("total"), *[(F.sum(r) / F.sum("n")).alias(f"mean_{r}") for r in RULES]
-    )
-    # One row on the small side of each of these joins.
-    spread = (
-        hosts.withColumn("one", F.lit(1))
-        .join(F.broadcast(means), "one")
-        .agg(
-            one,
-            *[F.first(f"mean_{r}").alias(f"mean_{r}") for r in RULES],
-            *[
-                (
-                    F.sum(F.col("n") * F.pow(F.col(r) / F.col("n") - F.col(f"mean_{r}"), 2))
-                    / F.sum("n")
-                ).alias(f"var_{r}")
-                for r in RULES
-            ],
+    hosts = stored(
+        judged.groupBy("host").agg(
+            F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(r)).alias(r) for r in RULES]
         )
     )
-    rated = hosts.withColumn("one", F.lit(1)).join(F.broadcast(spread), "one")
+    # Two rows of four numbers reach the driver; an empty table has none.
+    means = hosts.agg(*[(F.sum(r) / F.sum("n")).alias(r) for r in RULES]).first()
+    means = {r: means[r] or 0.0 for r in RULES}
+    spread = hosts.agg(
+        *[
+            (F.sum(F.col("n") * F.pow(F.col(r) / F.col("n") - means[r], 2)) / F.sum("n")).alias(r)
+            for r in RULES
+        ]
+    ).first()
+    rates = []
     for rule in RULES:
-        mean, var = F.col(f"mean_{rule}"), F.col(f"var_{rule}")
-        strength = F.when(
-            var > 0,
-            F.least(
-                F.greatest(mean * (1 - mean) / var - 1, F.lit(rules.least_strength)),
-                F.lit(rules.most_strength),
-            ),
-        ).otherwise(F.lit(rules.most_strength))
-        rated = rated.withColumn(
-            f"rate_{rule}", (F.col(rule) + mean * strength) / (F.col("n") + strength)
-        )
-    return rated.where(F.greatest(*[F.col(f"rate_{r}") for r in RULES]) > rules.host_rate).select(
-        "host"
-    )
+        mean, var = means[rule], spread[rule] or 0.0
+        strength = rules.most_strength
+        if var > 0:
+            strength = min(max(mean * (1 - mean) / var - 1, rules.least_strength), strength)
+        rates.append((F.col(rule) + mean * strength) / (F.col("n") + strength))
+    return hosts.where(F.greatest(*rates) > rules.host_rate).select("host")
 
 
 def judged_documents(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
@@ -160,7 +143,9 @@ def judged_documents(docs: DataFrame, rules: HostRules = HostRules()) -> DataFra
         .drop("text")
         .withColumns(checks)
     )
-    bad = failed_hosts(judged, rules).withColumn("host_failed", F.lit(True))
+    # Stored, so that both sides of the join come straight from a shuffle and a host
+    # with many documents can be split.
+    bad = stored(failed_hosts(judged, rules).withColumn("host_failed", F.lit(True)))
     base = F.col("failed_length") | F.col("failed_repeats")
     host_failed = F.coalesce("host_failed", F.lit(False))
     own = base | F.col("failed_symbols") | F.col("failed_lines")
