@@ -63,8 +63,8 @@ def suppress(
     Rows for which the condition is unknown stay. NOT IN is true for an empty
     list, unknown for a NULL key, false on a match, and otherwise unknown if the
     list holds a NULL. Both list counts come from one aggregate, as a scalar
-    subquery. Only rows with a key for which the predicate is true are joined, to the
-    distinct listed keys; all others go round the join.
+    subquery. Only rows with a key for which the predicate is true can meet one of the
+    distinct listed keys; ``df`` is evaluated once, as it may be a long plan.
     """
     keys = listed.select(F.col(listed_key or key).alias("_listed"))
     size = keys.agg(
@@ -73,12 +73,21 @@ def suppress(
     n_rows, n_keys = size["n_rows"], size["n_keys"]
     candidate = F.coalesce(predicate, F.lit(False))
     keyed = candidate & F.col(key).isNotNull()
-    others = df.where(~keyed & ~(candidate & (n_rows == 0)))
     hits = (
-        keys.where(F.col("_listed").isNotNull()).distinct().withColumn("_hit", F.lit(True))
+        keys.where(F.col("_listed").isNotNull())
+        .distinct()
+        .select("_listed", F.lit(0).cast("bigint").alias("_listed_spread"), F.lit(True).alias("_hit"))
     )
-    stays = F.coalesce("_hit", F.lit(False)) | (n_rows > n_keys)
-    candidates = (
-        df.where(keyed).join(hits, F.col(key) == F.col("_listed"), "left").where(stays)
+    # Rows that are not to be joined have no key; the hash of the whole row spreads them.
+    marked = df.withColumns(
+        {
+            "_keyed": keyed,
+            "_key": F.when(keyed, F.col(key)),
+            "_spread": F.when(keyed, F.lit(0)).otherwise(F.xxhash64(*df.columns)).cast("bigint"),
+            "_gone": candidate & (n_rows == 0),
+        }
     )
-    return candidates.select(*df.columns).union(others)
+    stays = F.coalesce("_hit", F.lit(False)) | (n_rows > n_keys)
+    on = (F.col("_key") == F.col("_listed")) & (F.col("_spread") == F.col("_listed_spread"))
+    kept = F.when(F.col("_keyed"), stays).otherwise(~F.col("_gone"))
+    return marked.join(hits, on, "left").where(kept).select(*df.columns)
