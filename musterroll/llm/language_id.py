@@ -60,20 +60,20 @@ def fit(docs: DataFrame, settings: Fusion = Fusion()) -> TextModel:
     """The text model from ``docs`` (doc_id, text, lang): per language the rows with the
     least hash of doc_id. Rows with a NULL or empty field are not used."""
     rows = docs.where("text <> '' and lang <> '' and doc_id is not null")
+    # One number reaches the driver. All labelled languages share the bound on rows.
+    languages = rows.select("lang").distinct().count()
+    bound = settings.per_language * settings.most_languages
+    each = min(settings.per_language, max(1, bound // max(1, languages)))
     chosen = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", "lang"), 256).alias("part"))
     # Parts of a language first, so that one task meets a bounded number of its rows.
     for keys in (["lang", "part"], ["lang"]):
         order = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
         chosen = (
             chosen.withColumn("n", F.row_number().over(order))
-            .where(F.col("n") <= settings.per_language)
+            .where(F.col("n") <= each)
             .drop("n")
         )
-    chosen = (
-        chosen.select("doc_id", F.col("lang").alias("language"))
-        .orderBy("language", "doc_id")
-        .limit(settings.per_language * settings.most_languages)
-    )
+    chosen = chosen.select("doc_id", F.col("lang").alias("language"))
     sample = (
         rows.select("doc_id", F.substring("text", 1, settings.chars_each).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
