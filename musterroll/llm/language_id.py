@@ -24,12 +24,11 @@ BUCKETS = 1 << 16
 
 @dataclass(frozen=True)
 class Fusion:
-    """``per_language`` texts of at most ``chars_each`` characters train the text model.
+    """``per_language`` texts of a language, read whole, train the text model.
     A text weighs as at most ``trigrams`` independent trigrams. The smoothing counts
     are in pages. At most ``most_languages`` languages."""
 
     per_language: int = 500
-    chars_each: int = 4_000
     trigrams: float = 40.0
     smoothing: float = 0.05
     host_pages: float = 10.0
@@ -56,6 +55,21 @@ def trigram_buckets(text: str) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint32(16))) % BUCKETS).astype(np.int64)
 
 
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """language, text -> language, bucket, n for the trigrams of each text."""
+    for batch in small_batches(batches, "text"):
+        for language, text in zip(batch.column("language"), batch.column("text")):
+            buckets, n = np.unique(trigram_buckets(text.as_py()), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([language.as_py()] * len(buckets), pa.string()),
+                    pa.array(buckets.astype(np.int32)),
+                    pa.array(n.astype(np.int64)),
+                ],
+                ["language", "bucket", "n"],
+            )
+
+
 def fit(docs: DataFrame, settings: Fusion = Fusion()) -> TextModel:
     """The text model from ``docs`` (doc_id, text, lang): per language the rows with the
     least hash of doc_id. Rows with a NULL or empty field are not used."""
@@ -75,15 +89,21 @@ def fit(docs: DataFrame, settings: Fusion = Fusion()) -> TextModel:
         )
     chosen = chosen.select("doc_id", F.col("lang").alias("language"))
     sample = (
-        rows.select("doc_id", F.substring("text", 1, settings.chars_each).alias("text"))
+        rows.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
         .select("language", "text")
+        .mapInArrow(_counted, "language string, bucket int, n long")
+        .groupBy("language", "bucket")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("language")
+        .agg(F.collect_list(F.col("n") * BUCKETS + F.col("bucket")).alias("packed"))
         .toLocalIterator()
     )
     counts: dict[str, np.ndarray] = {}
-    for language, text in sample:
-        found = np.bincount(trigram_buckets(text), minlength=BUCKETS)
-        counts[language] = counts.get(language, 0) + found
+    for language, packed in sample:  # a row a language, of at most BUCKETS numbers
+        found = np.array(packed, np.int64)
+        counts[language] = np.zeros(BUCKETS, np.int64)
+        counts[language][found % BUCKETS] = found // BUCKETS
     if not counts:
         return TextModel()
     languages = sorted(counts)
