@@ -15,6 +15,7 @@ from musterroll.llm.spelling import spelling_forms
 from musterroll.llm.sql import ORACLE_SQL
 from musterroll.llm.substring_dedup import without_repeats
 from musterroll.llm.token_counts import token_counts
+from musterroll.llm.vector_codes import vector_codes
 from musterroll.llm.warc import derivatives, responses
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -90,6 +91,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_secrets(docs).select("doc_id", *[c.alias(name) for name, c in columns.items()])
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_forms(table(spark, sf_dir, "documents"))
 
@@ -107,6 +112,7 @@ QUERIES = {
         op8_language_id,
         op9_quality_classifier,
         op10_secrets,
+        op12_vector_codes,
         op13_spelling,
     )
 }

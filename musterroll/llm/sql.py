@@ -202,9 +202,70 @@ WITH letters AS (
 SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM formed JOIN way USING (word)
 """
 
+
+def _vector_codes(rounds: int) -> str:
+    """Codebooks as a table (p, e, entry), one assignment and one update a round."""
+    nearest = """
+), near{k} AS MATERIALIZED (
+  SELECT p, part, n, e, d
+  FROM (
+    SELECT p, part, n, e, d, row_number() OVER (PARTITION BY p, part ORDER BY d, e) AS place
+    FROM (
+      SELECT p, part, n, e, list_sum(list_transform(list_zip(part, entry),
+        lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT AS d
+      FROM distinct_part JOIN book{k} USING (p)
+    )
+  )
+  WHERE place = 1"""
+    moved = """
+), total{k} AS (
+  SELECT p, e, i, sum(part[i] * n)::HUGEINT AS total, sum(n)::HUGEINT AS n
+  FROM near{j}, (SELECT unnest(range(1, w + 1)) AS i FROM width)
+  GROUP BY p, e, i
+), book{k} AS MATERIALIZED (
+  SELECT p, e, coalesce(moved, entry) AS entry
+  FROM book{j} LEFT JOIN (
+    SELECT p, e, list(((total - (total % n + n) % n) // n)::BIGINT ORDER BY i) AS moved
+    FROM total{k} GROUP BY p, e
+  ) USING (p, e)"""
+    steps = "".join(
+        nearest.format(k=k) + moved.format(j=k, k=k + 1) for k in range(rounds)
+    ) + nearest.format(k=rounds)
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), width AS (
+  SELECT max(len(ints)) // 8 AS w FROM kept
+), part AS MATERIALIZED (
+  SELECT id, p, ints[p * w + 1:(p + 1) * w] AS part
+  FROM kept, width, (SELECT unnest(range(8)) AS p)
+), distinct_part AS MATERIALIZED (
+  SELECT p, part, count(*) AS n FROM part GROUP BY p, part
+), seed AS (
+  SELECT id, row_number() OVER (ORDER BY vec_id NULLS LAST, ints) - 1 AS e FROM kept
+), book0 AS MATERIALIZED (
+  SELECT p, e, part AS entry FROM part JOIN seed USING (id) WHERE e < 16{steps}
+), coded AS (
+  SELECT id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM part JOIN near{rounds} USING (p, part) GROUP BY id
+), digest AS (
+  SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(entry) AS x, generate_subscripts(entry, 1) AS i FROM book{rounds})
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  codebooks_sha256
+FROM kept JOIN coded USING (id), digest
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_derivatives": WARC,
     "op3_substring_dedup": SUBSTRINGS,
     "op5_host_rules": _host_rules(HostRules()),
+    "op12_vector_codes": _vector_codes(6),
     "op13_spelling": SPELLING,
 }
