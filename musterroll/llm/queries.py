@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from musterroll.llm import bpe, language_id, quality_classifier
+from musterroll.llm import bpe, language_id, lm_scoring, quality_classifier
 from musterroll.llm.corpus import table
 from musterroll.llm.decontaminate import with_matches
 from musterroll.llm.quality_rules import judged_documents
@@ -91,6 +91,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_secrets(docs).select("doc_id", *[c.alias(name) for name, c in columns.items()])
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lm_scoring.scored(table(spark, sf_dir, "documents"), held_out)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
 
@@ -112,6 +117,7 @@ QUERIES = {
         op8_language_id,
         op9_quality_classifier,
         op10_secrets,
+        op11_lm_scoring,
         op12_vector_codes,
         op13_spelling,
     )
