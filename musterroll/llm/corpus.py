@@ -46,6 +46,20 @@ def small_batches(
             start = end
 
 
+def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no helper column has, and each column's name there."""
+    names = [f"column{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``docs`` has."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, cut from its lineage.
 

@@ -241,9 +241,12 @@ def _searching(shared, place: int, column: int):
 
 
 def with_matches(
-    docs: DataFrame, items: DataFrame, settings: Decontamination = Decontamination()
+    docs: DataFrame,
+    items: DataFrame,
+    settings: Decontamination = Decontamination(),
+    into: str = "matches",
 ) -> DataFrame:
-    """``docs`` with the column ``matches``: the confirmed test items of each row.
+    """``docs`` with the column ``into``: the confirmed test items of each row.
 
     A column of that name is replaced, all others pass through. NULL and empty texts
     have no matches; repeated rows are searched one by one; tied passages give the
@@ -251,8 +254,8 @@ def with_matches(
     Document frequencies are those of an item's own index. The rows are not shuffled.
     """
     context = docs.sparkSession.sparkContext
-    result = docs.withColumn("matches", F.expr(f"cast(array() as {MATCHES})"))
-    place, column = docs.columns.index("text"), result.columns.index("matches")
+    result = docs.withColumn(into, F.expr(f"cast(array() as {MATCHES})"))
+    place, column = docs.columns.index("text"), result.columns.index(into)
     for index in indexes(items, settings):
         shared = context.broadcast(index)  # made of at most max_item_bytes of text
         result = result.mapInArrow(_searching(shared, place, column), result.schema)

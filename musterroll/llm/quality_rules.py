@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from musterroll.llm.corpus import WHITE_SPACE, stored
+from musterroll.llm.corpus import WHITE_SPACE, set_apart, stored
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RULES = ["failed_length", "failed_repeats", "failed_symbols", "failed_lines"]
@@ -158,3 +158,28 @@ def judged_documents(docs: DataFrame, rules: HostRules = HostRules()) -> DataFra
         "failed_symbols",
         "failed_lines",
     )
+
+
+def kept_documents(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, source, any others) that ``judged_documents``
+    keeps, with all their columns.
+
+    The verdict lies on the row, so rows without an id, or with the same one, are judged
+    apart. Texts of rows that fail by themselves are not stored.
+    """
+    plain, name = set_apart(docs)
+    text = F.col(name["text"]).cast("string")
+    source = F.col(name["source"]).cast("string")
+    rows = plain.select(
+        F.struct(*plain.columns).alias("row"),
+        text.alias("text"),
+        F.coalesce(source, F.lit("")).alias("host"),
+    )
+    judged = stored(
+        measured(rows)
+        .withColumns(failures(rules))
+        .select("host", F.when(~F.greatest(*RULES), F.col("row")).alias("row"), *RULES)
+    )
+    bad = stored(failed_hosts(judged, rules))
+    kept = judged.where("row is not null").join(bad, "host", "left_anti")
+    return kept.select("row.*").toDF(*docs.columns)

@@ -266,19 +266,22 @@ def mask(text: str, spans: list[tuple[int, int, int]], rules: tuple[Rule, ...] =
 
 
 def with_secrets(
-    docs: DataFrame, rules: tuple[Rule, ...] = RULES, masked: bool = False
+    docs: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    masked: bool = False,
+    into: str = "spans",
 ) -> DataFrame:
-    """``docs`` with the column ``spans``: kind, start and end (exclusive, in code points)
+    """``docs`` with the column ``into``: kind, start and end (exclusive, in code points)
     of each secret in ``text``, by start and then by the order of ``rules``.
 
-    With ``masked`` the text has them replaced by ``<kind>``. A column named spans is
+    With ``masked`` the text has them replaced by ``<kind>``. A column of that name is
     replaced, all others pass through. NULL and empty texts have no spans; a text is
     searched whole, whatever its length; kinds that start at one place keep the order
     of the rules; repeated rows are scanned one by one; an empty table gives no rows.
     The rows are not shuffled.
     """
-    result = docs.withColumn("spans", F.expr(f"cast(array() as {SPANS})"))
-    run = _scanning(rules, docs.columns.index("text"), result.columns.index("spans"), masked)
+    result = docs.withColumn(into, F.expr(f"cast(array() as {SPANS})"))
+    run = _scanning(rules, docs.columns.index("text"), result.columns.index(into), masked)
     return result.mapInArrow(run, result.schema)
 
 

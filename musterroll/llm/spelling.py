@@ -91,16 +91,14 @@ def neighbourhood(text: str, symbols: int) -> F.Column:
 def near_pairs(words: DataFrame, settings: Spelling) -> DataFrame:
     """``a, n, b, m``: every pair of ``words`` (word, n) one edit apart, once, with counts."""
     keyed = words.select("word", "n", reduced(F.col("word"), settings.symbols).alias("r"))
-    strings = stored(keyed.select("r").distinct())
+    # Small as a table, but each string is about to become its whole neighbourhood.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    strings = stored(keyed.select("r").distinct().repartition(tasks, "r"))
     wanted = strings.select(F.xxhash64("r").alias("near")).distinct()
-    pairs = (
-        strings.select(
-            F.xxhash64("r").alias("key"),
-            F.explode(neighbourhood("r", settings.symbols)).alias("near"),
-        )
-        .distinct()
-        .join(wanted, "near")
-    )
+    pairs = strings.select(
+        F.xxhash64("r").alias("key"),
+        F.explode(neighbourhood("r", settings.symbols)).alias("near"),
+    ).join(wanted, "near")
     left = keyed.select(
         F.xxhash64("r").alias("key"), F.col("word").alias("a"), "n", F.col("r").alias("p")
     )
@@ -108,10 +106,12 @@ def near_pairs(words: DataFrame, settings: Spelling) -> DataFrame:
         F.xxhash64("r").alias("near"), F.col("word").alias("b"), F.col("n").alias("m"),
         F.col("r").alias("q"),
     )
-    # The order in which pairs are generated: strings whose hashes are equal give none twice.
+    # The order in which pairs are generated.
     first = F.struct(F.length("p"), "p", "a") > F.struct(F.length("q"), "q", "b")
     one_edit = F.levenshtein(F.col("a"), F.col("b"), 1) == 1
-    return pairs.join(left, "key").join(right, "near").where(first & one_edit).select("a", "n", "b", "m")
+    found = pairs.join(left, "key").join(right, "near").where(first & one_edit)
+    # Only strings whose hashes are equal can have given a pair twice.
+    return found.select("a", "n", "b", "m").distinct()
 
 
 def spelling_forms(docs: DataFrame, settings: Spelling = Spelling()) -> DataFrame:

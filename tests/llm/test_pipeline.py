@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from musterroll.llm import secrets
+from musterroll.llm import secrets, simhash
 from tests.llm.test_exact import (
     decontaminate,
     plain_base_spans,
@@ -76,10 +77,39 @@ def test_run_gives_the_last_stage(spark, sf_dir, stages):
 
 
 def test_stages_take_odd_rows(spark, sf_dir, odd):
-    docs = odd.selectExpr("doc_id", "text", "lang", "source", "cast(null as bigint) as n_chars")
-    for rows in (docs, docs.where("false")):
-        for _, stage in corpus_pipeline.STAGES[:4]:
-            rows = stage(spark, rows, sf_dir)
-            assert rows.columns == docs.columns
-        kept = [r.doc_id for r in rows.collect()]
-        assert set(kept) <= {5, 6, 7}
+    """Rows without an id or with a repeated one are judged apart; all columns stay."""
+    docs = odd.withColumn("n_chars", F.lit(None).cast("long"))
+    sizes = []
+    rows = docs
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        rows = stage(spark, rows, sf_dir)
+        assert rows.schema.simpleString() == docs.schema.simpleString()
+        rows = spark.createDataFrame(rows.collect(), docs.schema)
+        sizes.append(rows.count())
+    kept = {(r.doc_id, r.text) for r in rows.collect()}
+    # Very long texts here repeat their windows, and go; the row twice goes once.
+    assert sizes == [4, 3, 3, 3]
+    assert {i for i, _ in kept} == {None, 5, 6}
+    assert {r.matches for r in rows.collect()} == {r.spans for r in rows.collect()} == {"x"}
+    assert all(r.n_chars == len(r.text) for r in rows.collect())
+    masked = next(text for i, text in kept if i == 6)
+    assert masked.endswith("<assign>")
+    last = corpus_pipeline.STAGES[4][1](spark, rows, sf_dir)
+    assert {r.doc_id for r in last.collect()} == {None, 5, 6}
+
+
+def test_stages_take_an_empty_table(spark, sf_dir, nothing):
+    docs = nothing.drop("n_chars")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == nothing.columns
+        assert docs.count() == 0
+
+
+def test_one_row_of_repeated_rows_stays(spark):
+    text = "a text of some length that many rows repeat word by word"
+    rows = [(None, text, 1), (None, text, 2), (4, text, 3), (4, text, 4), (9, text, 5), (None, "other words", 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp int")
+    got = simhash.one_of_each(df).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("4", text), ("None", "other words")]
+    assert {r.fp for r in got} < {3, 4, 6}
