@@ -5,48 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from musterroll.llm.corpus import stored, table
+from musterroll.llm.corpus import free_name, stored, table
 from musterroll.llm.decontaminate import with_matches
-from musterroll.llm.near_copies import near_copies
+from musterroll.llm.quality_rules import kept_documents
 from musterroll.llm.queries import bpe_digests
-from musterroll.llm.quality_rules import judged_documents
 from musterroll.llm.secrets import with_secrets
+from musterroll.llm.simhash import SimHash, one_of_each
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and their host's verdict keep.
-
-    A doc_id is kept if all rows with it are; rows without doc_id go, as no verdict
-    can be joined to them.
-    """
-    verdicts = judged_documents(docs).groupBy("doc_id").agg(F.bool_and("kept").alias("kept"))
-    return docs.join(verdicts.where("kept").select("doc_id"), "doc_id", "left_semi")
+    """Rows that the rules and their host's verdict keep; rows without doc_id too."""
+    return kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies.
+    """One row of each group of near copies, the one with the smallest doc_id.
 
-    Texts are near copies if their sets of 5-word shingles have 0.8 of their union in
-    common; all such pairs are found. Of several rows with that doc_id all stay; the table has one.
+    Near copies have fingerprints of 3-word shingles that differ in at most two bits, or
+    that a chain of such fingerprints joins.
     """
-    kept = near_copies(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return one_of_each(docs, SimHash(words=3, bits=2))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a confirmed benchmark item."""
-    found = with_matches(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("matches") == 0).drop("matches")
+    """Rows without a confirmed benchmark item."""
+    into = free_name(docs, "matches")
+    found = with_matches(docs, table(spark, sf_dir, "benchmark"), into=into)
+    return found.where(F.size(into) == 0).select(docs.columns)
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by their kind and n_chars counted anew."""
-    masked = with_secrets(docs, masked=True).drop("spans")
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """All rows, with secrets replaced by their kind; n_chars, if any, is counted anew."""
+    masked = with_secrets(docs, masked=True, into=free_name(docs, "spans")).select(docs.columns)
+    if "n_chars" not in docs.columns:
+        return masked
+    kind = docs.schema["n_chars"].dataType
+    return masked.withColumn("n_chars", F.length("text").cast(kind))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded bytes."""
+    """Per row its doc_id, token count and digests of the ids and of the decoded bytes."""
     return bpe_digests(docs)
 
 
