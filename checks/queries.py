@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.standins import AS_OF, CONFIG, sources, table
-from musterroll.audit import gates
+from musterroll.audit import gates, read_log
 from musterroll.functions.text import (
     ci_eq,
     ci_in,
@@ -43,7 +43,7 @@ from musterroll.plans.providers import (
 )
 from musterroll.plans.roster import ALERT_COLUMNS, RosterPaths, cohort_of, roster_stage, run
 from musterroll.plans.stage import gate_counts, has_review_name, route, suppress_unreviewed
-from musterroll.schemas import REPORT_COLUMNS, ROSTER_FILE_COLUMNS, RUN_LOG_SCHEMA
+from musterroll.schemas import REPORT_COLUMNS, ROSTER_FILE_COLUMNS
 from musterroll.sinks.tables import ARCHIVE_SCHEMA
 from musterroll.sinks.workspace import Workspace
 from musterroll.sinks.writers import (
@@ -284,7 +284,7 @@ def written(spark: SparkSession, sf_dir: str, runs: int = 1) -> tuple[str, Roste
 def step_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log that the job itself writes."""
     _, paths = written(spark, sf_dir)
-    return spark.read.schema(RUN_LOG_SCHEMA).parquet(paths.run_log)
+    return read_log(spark, paths.run_log)
 
 
 NARROW_MEMBER = T.StructType(
@@ -360,8 +360,10 @@ def roster_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     archive = read_archive(spark, paths.roster_archive, ARCHIVE_SCHEMA)
     alerts = spark.read.schema(f"{ALERT_COLUMNS}, run_id string").parquet(paths.alerts)
-    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(paths.run_log)
-    sent = read_report(spark, f"{paths.roster_file}/{AS_OF:%Y%m%d}", list(ROSTER_FILE_COLUMNS))
+    log = read_log(spark, paths.run_log)
+    sent = read_report(
+        spark, f"{paths.roster_file}/{AS_OF:%Y%m%d}/run-1.txt", list(ROSTER_FILE_COLUMNS)
+    )
     report = read_report(spark, f"{paths.report_review}/run_id=run-1", REPORT_COLUMNS)
     return _tagged(
         {
@@ -393,6 +395,9 @@ def catalog_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     months = check_source(read_source(spark, {"table": f"{name}_months"}), "member_month")
     orders = read_source(spark, {"table": name})
+    # Both are resolved to the given files by now; nothing is left in the catalog.
+    spark.catalog.dropTempView(f"{name}_months")
+    spark.sql(f"DROP TABLE {name}")
     return _tagged(
         {
             "view": in_period(months).select("patient_id", "contract_key"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from musterroll.schemas import RUN_LOG_SCHEMA
-from musterroll.sinks.writers import append_log
+from musterroll.sinks.files import Files
 
 START, FINISH, ERROR = "START", "FINISH", "ERROR"
 
@@ -43,8 +45,10 @@ class Step:
 class StepLog:
     """START, FINISH and ERROR rows of one run: messages and counts, never values.
 
-    With ``path`` each row is added to the log there when it is logged, so that the
-    log tells how far a run came whose driver is gone. There are one or two rows a step.
+    With ``path`` each row is a small file the moment it is logged, without a Spark job,
+    so that the log tells how far a run came whose driver is gone. ``close`` makes one
+    file of them, which takes their place at once: ``read_log`` does not look at the rows
+    of a run that has its file.
     """
 
     def __init__(
@@ -60,14 +64,30 @@ class StepLog:
         self._run_id = run_id
         self._clock = clock
         self._path = path
+        self._name = f"{run_id}-{uuid.uuid4().hex}"
         self.rows: list[tuple] = []
 
+    @property
+    def _rows_path(self) -> str:
+        return f"{open_log(self._path)}/{self._name}"
+
     def log_step(self, check_point: str, message: str, row_count: int | None = None) -> None:
         now = self._clock().replace(tzinfo=None)
         row = (self._run_id, self._procedure_name, check_point, now, message, row_count)
         self.rows.append(row)
         if self._path is not None:
-            append_log(self._frame([row]), self._path)
+            write_row(self._spark, f"{self._rows_path}/{len(self.rows):06d}.json", row)
+
+    def close(self) -> None:
+        """Make the run's rows one file of the log; to be called when the run is over."""
+        if self._path is None or not self.rows:
+            return
+        files, made = Files(self._spark), f"{self._rows_path}/_file"
+        self.frame().write.mode("overwrite").parquet(made)
+        [part] = [e.path for e in files.entries(made) if e.name.startswith("part-")]
+        files.make_folder(self._path)
+        files.move(part, f"{self._path}/{self._name}.parquet")
+        files.remove(self._rows_path)
 
     @contextmanager
     def step(self, message: str) -> Iterator[Step]:
@@ -93,6 +113,31 @@ class StepLog:
         return self._frame(self.rows)
 
 
+def open_log(path: str) -> str:
+    """Where the rows of runs that are not over lie; readers of ``path`` pass it over."""
+    return f"{path}/_open"
+
+
+def write_row(spark: SparkSession, name: str, row: tuple) -> None:
+    values = (v.isoformat() if isinstance(v, datetime) else v for v in row)
+    Files(spark).write_text(name, json.dumps(dict(zip(RUN_LOG_SCHEMA.names, values))) + "\n")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the log: the files of runs that are over, and the rows so far of the
+    others, those whose driver is gone included."""
+    files = Files(spark)
+    over = {entry.name for entry in files.entries(path)}
+    parts = [f"{path}/{name}" for name in sorted(over) if name.endswith(".parquet")]
+    still = [e.path for e in files.entries(open_log(path)) if f"{e.name}.parquet" not in over]
+    found = spark.createDataFrame([], RUN_LOG_SCHEMA)
+    if parts:
+        found = found.union(spark.read.schema(RUN_LOG_SCHEMA).parquet(*parts))
+    if still:
+        found = found.union(spark.read.schema(RUN_LOG_SCHEMA).json(still))
+    return found
+
+
 # Fixed order and texts of the two gates.
 GATE_MESSAGES = {
     "missing_id": "There are rows without a payer id in the roster.",

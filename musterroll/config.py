@@ -46,6 +46,9 @@ class RosterConfig:
     report_missing: bool = False
     procedure_name: str = "member_roster"
     environment: str = ""
+    # Newest versions of each snapshot that stay; 0: all. Replaced ones stay for some time.
+    keep_versions: int = 0
+    grace_hours: float = 24.0
 
     def __post_init__(self) -> None:
         for name in ("contract_names", "code_types", "primary_office_values"):
@@ -57,6 +60,8 @@ class RosterConfig:
             object.__setattr__(self, "open_end_date", date.fromisoformat(self.open_end_date))
         if self.on_overflow not in ("raise", "quarantine"):
             raise ValueError("on_overflow must be 'raise' or 'quarantine'")
+        if self.keep_versions < 0 or self.grace_hours < 0:
+            raise ValueError("keep_versions and grace_hours cannot be negative")
 
     @classmethod
     def from_json(cls, path: str) -> RosterConfig:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from musterroll.audit import ERROR, GATE_MESSAGES, StepLog
 from musterroll.config import RosterConfig
 from musterroll.operators.conform import conform, split_overflow
-from musterroll.plans.cohort import build_cohort, latest_period
+from musterroll.plans.cohort import build_cohort
 from musterroll.plans.identifiers import crosswalk, override_codes, payer_ids
 from musterroll.plans.providers import attribute, employed_providers
 from musterroll.plans.stage import assemble, route, sent_rows, suppress_unreviewed
@@ -24,9 +24,12 @@ from musterroll.sinks.writers import (
     append_archive,
     check_run_id,
     publish,
+    remove_old_attempts,
+    remove_old_versions,
     version_path,
     write_of_run,
     write_report,
+    write_report_file,
     write_version,
 )
 from musterroll.sources.catalog import RosterSources
@@ -108,8 +111,9 @@ def run(
     ``roster_current``, ``roster_missing_id`` and ``roster_review`` get a new version
     each (``read_snapshot`` finds the current one; the three change together at the
     end), ``roster_archive`` holds the sent rows of each run once, with the time of
-    sending, ``roster_file/<day>`` is the sendable file of that day, ``run_log`` grows
-    row by row. ``alerts`` and ``report_*`` describe the gates that fired, and
+    sending, ``roster_file/<day>/<run_id>.txt`` is the sendable file, in order of members,
+    ``run_log`` grows row by row and has one file for each run that is over. With
+    ``cfg.keep_versions`` older versions are removed at the end, when nobody needs them. ``alerts`` and ``report_*`` describe the gates that fired, and
     ``roster_overflow`` (in quarantine mode) the rows held back, each by run. With
     ``database`` the roster, archive and log folders are also catalog tables.
 
@@ -143,7 +147,7 @@ def run(
     try:
         log.log_step("START", "roster")
         # One value: known up front it prunes the fact's partitions in every step.
-        period = latest_period(sources.periods).first()["yearmo"]
+        period = sources.newest_period()
         wanted = F.lit(None).cast("int") if period is None else period
 
         cohort = keep("cohort", cohort_of(sources, cfg, wanted))
@@ -209,11 +213,19 @@ def run(
             append_archive(step.count(sent), paths.roster_archive, run_id)
         counts["roster_archive"] = step.row_count
         with log.step("roster_file"):
-            write_report(current, f"{paths.roster_file}/{as_of:%Y%m%d}", ROSTER_FILE_COLUMNS)
+            file = f"{paths.roster_file}/{as_of:%Y%m%d}/{run_id}.txt"
+            write_report_file(current, file, ROSTER_FILE_COLUMNS, ["patient_id", "person_id"])
         publish(spark, root, versions)
         log.log_step("FINISH", "roster")
     finally:
-        work.drop()
+        try:
+            work.drop()
+        finally:
+            log.close()
+    if cfg.keep_versions:
+        grace = timedelta(hours=cfg.grace_hours)
+        remove_old_versions(spark, root, cfg.keep_versions, grace)
+        remove_old_attempts(spark, paths.roster_archive, grace)
     if database is not None:
         register_outputs(spark, paths, database)
     return RosterRun(period, counts, fired, paths)

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from musterroll.schemas import ROSTER_COLUMNS, RUN_LOG_SCHEMA, STAGE_SCHEMA
-from musterroll.sinks.writers import current_path
+from musterroll.sinks.writers import archive_parts, current_path
 
 if TYPE_CHECKING:
     from musterroll.plans.roster import RosterPaths
@@ -40,7 +40,8 @@ def register_outputs(spark: SparkSession, paths: RosterPaths, database: str) ->
     """Make the outputs readable as ``database.<name>`` and up to date.
 
     Only the catalog changes: the tables are external, so dropping one leaves its
-    folder. A snapshot's table is moved to its current version. The archive finds its runs again as partitions.
+    folder. A snapshot's table is moved to its current version, and so is each run's
+    partition of the archive.
     """
     for name in SNAPSHOT_TABLES:
         current = current_path(spark, paths.root, name)
@@ -53,5 +54,8 @@ def register_outputs(spark: SparkSession, paths: RosterPaths, database: str) ->
     by_run = T.StructType([*ARCHIVE_SCHEMA.fields, T.StructField("run_id", T.StringType(), True)])
     archive = f"{database}.roster_archive"
     _create(spark, archive, by_run, paths["roster_archive"], "PARTITIONED BY (run_id)")
-    spark.catalog.recoverPartitions(archive)
+    for run_id, part in archive_parts(spark, paths["roster_archive"]).items():
+        one, place = f"PARTITION (run_id = '{run_id}')", part.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {archive} ADD IF NOT EXISTS {one} LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {archive} {one} SET LOCATION '{place}'")
     spark.catalog.refreshTable(archive)

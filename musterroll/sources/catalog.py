@@ -127,6 +127,22 @@ class RosterSources:
         """A table with all values of ``yearmo``: a partition list, or the months."""
         return self.member_month if self._periods is None else self._periods
 
+    def newest_period(self) -> int | None:
+        """The highest ``yearmo`` that has a row; NULL if there are no months.
+
+        A partition list tells what was registered, not what has rows, so its values are
+        tried from the highest downwards until one partition has a row. Each try reads
+        one row of one partition at most; without a list the months themselves are read.
+        """
+        if self._periods is None:
+            return self.member_month.agg(F.max("yearmo")).first()[0]
+        # As many values as there are partitions, from the catalog.
+        listed = self._periods.where("yearmo is not null").distinct().orderBy(F.desc("yearmo"))
+        for row in listed.collect():
+            if not self.member_month.where(F.col("yearmo") == row.yearmo).isEmpty():
+                return row.yearmo
+        return None
+
     def check(self) -> RosterSources:
         """Check all tables now, so that a job fails before it writes anything."""
         for name in SOURCE_COLUMNS:

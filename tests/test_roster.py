@@ -12,11 +12,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from musterroll import audit, run
-from musterroll.audit import GATE_MESSAGES, StepLog, gates
+from musterroll.audit import GATE_MESSAGES, StepLog, gates, read_log
 from musterroll.plans import roster
-from musterroll.schemas import REPORT_COLUMNS, ROSTER_COLUMNS, RUN_LOG_SCHEMA
+from musterroll.schemas import REPORT_COLUMNS, ROSTER_COLUMNS
 from musterroll.sinks import workspace
-from musterroll.sinks.writers import read_report, read_snapshot
+from musterroll.sinks.tables import ARCHIVE_SCHEMA
+from musterroll.sinks.writers import read_archive, read_report, read_snapshot
 from tests.fixtures import (
     AS_OF,
     CONFIG,
@@ -55,7 +56,7 @@ def at_noon():
 def log_of(spark, result):
     return [
         (row["check_point"], row["message"], row["row_count"])
-        for row in spark.read.schema(RUN_LOG_SCHEMA).parquet(result.paths.run_log).collect()
+        for row in read_log(spark, result.paths.run_log).collect()
     ]
 
 
@@ -71,7 +72,7 @@ def test_one_archive_append_in_every_branch(spark, tmp_path, n_missing, n_review
     assert result.counts["roster_current"] == result.counts["roster_archive"] == 3
     assert result.counts["roster_missing_id"] == n_missing
     assert result.counts["roster_review"] == n_review
-    archive = spark.read.parquet(result.paths.roster_archive)
+    archive = read_archive(spark, result.paths.roster_archive, ARCHIVE_SCHEMA)
     assert values(archive, "patient_id", "subscriber_id", "run_id", "sent_at") == [
         (i, None, "run-1", at_noon()) for i in (1, 2, 3)
     ]
@@ -90,7 +91,7 @@ def test_runs_outputs_and_log(spark, tmp_path):
     first = run(spark, population(spark, 2, 2), cfg, AS_OF, "run-1", root, at_noon)
     again = run(spark, population(spark, 2, 2), cfg, AS_OF, "run-1", root, at_noon)
     assert again.counts == first.counts
-    archive = spark.read.parquet(first.paths.roster_archive)
+    archive = read_archive(spark, first.paths.roster_archive, ARCHIVE_SCHEMA)
     assert archive.count() == 3
     log = log_of(spark, first)
     steps = [m for c, m, _ in log if c == "START"]
@@ -118,11 +119,13 @@ def test_runs_outputs_and_log(spark, tmp_path):
     report = spark.read.csv(f"{first.paths.report_review}/run_id=run-1", sep="\t", header=True)
     assert report.columns[:4] == ["record_number", "patient_id", "person_id", "historical_person_id"]
     assert values(report, "patient_id", "person_id") == [("21", "21"), ("22", "22")]
-    sent = spark.read.csv(f"{first.paths.roster_file}/{AS_OF:%Y%m%d}", sep="\t", header=True)
+    file = f"{first.paths.roster_file}/{AS_OF:%Y%m%d}/run-1.txt"
+    assert os.path.isfile(file) and sum("Person ID" in line for line in open(file)) == 1
+    sent = spark.read.csv(file, sep="\t", header=True)
     assert sent.count() == 3 and sent.columns[0] == "Person ID"
     third = run(spark, population(spark, 0, 0), cfg, AS_OF, "run-2", root, at_noon)
-    assert values(spark.read.parquet(third.paths.roster_archive).groupBy("run_id").count(),
-                  "run_id", "count") == [("run-1", 3), ("run-2", 3)]
+    archive = read_archive(spark, third.paths.roster_archive, ARCHIVE_SCHEMA)
+    assert values(archive.groupBy("run_id").count(), "run_id", "count") == [("run-1", 3), ("run-2", 3)]
     assert read_snapshot(spark, root, "roster_missing_id").count() == 0
     # No alert of this run, and the former run's are still to be found under its id.
     alerts = spark.read.parquet(third.paths.alerts).groupBy("run_id").count()
@@ -151,18 +154,18 @@ def test_a_failed_run_leaves_the_snapshots_readable(spark, tmp_path, monkeypatch
     assert read_snapshot(spark, root, "roster_current").count() == 3
     assert read_snapshot(spark, root, "roster_missing_id").count() == 0
     assert os.listdir(tmp_path / "work" / "musterroll") == []
-    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/run_log").where("run_id = 'run-2'")
+    log = read_log(spark, f"{root}/run_log").where("run_id = 'run-2'")
     assert ("roster_archive: OSError",) in values(log.where("check_point = 'ERROR'"), "message")
 
 
 def test_a_broken_log_does_not_hide_the_error_or_keep_the_step_tables(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(workspace, "shared_folder", lambda _: str(tmp_path / "work"))
 
-    def broken(df, path):
-        if df.where("check_point = 'ERROR'").count():
+    def broken(spark, name, row):
+        if row[2] == "ERROR":
             raise OSError("log")
 
-    monkeypatch.setattr(audit, "append_log", broken)
+    monkeypatch.setattr(audit, "write_row", broken)
     monkeypatch.setattr(roster, "assemble", lambda *_: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         run(spark, population(spark, 0, 0), CONFIG, AS_OF, "r", str(tmp_path / "out"), at_noon)
@@ -185,6 +188,34 @@ def test_outputs_as_catalog_tables(spark, tmp_path):
     assert read_snapshot(spark, str(tmp_path), "roster_current").count() == 3
 
 
+def test_a_repeat_that_fails_keeps_what_was_sent(spark, tmp_path, monkeypatch):
+    """The archive is written in one step: an attempt that dies in it changes nothing."""
+    root = str(tmp_path)
+    first = run(spark, population(spark, 0, 0), CONFIG, AS_OF, "run-1", root, at_noon)
+    before = values(read_archive(spark, first.paths.roster_archive, ARCHIVE_SCHEMA), "patient_id")
+    rows = roster.sent_rows
+    monkeypatch.setattr(
+        roster, "sent_rows", lambda df: rows(df).where(F.raise_error(F.lit("executor lost")).isNull())
+    )
+    with pytest.raises(PySparkException, match="executor lost"):
+        run(spark, population(spark, 2, 0), CONFIG, AS_OF, "run-1", root, at_noon)
+    archive = read_archive(spark, first.paths.roster_archive, ARCHIVE_SCHEMA)
+    assert values(archive, "patient_id") == before == [(1,), (2,), (3,)]
+
+
+def test_old_versions_go_when_told(spark, tmp_path):
+    cfg = replace(CONFIG, keep_versions=1, grace_hours=0)
+    for run_id in ("a", "b", "b"):
+        result = run(spark, population(spark, 0, 0), cfg, AS_OF, run_id, str(tmp_path), at_noon)
+    assert len(os.listdir(result.paths.roster_current)) == 1
+    assert read_snapshot(spark, str(tmp_path), "roster_current").count() == 3
+    archive = read_archive(spark, result.paths.roster_archive, ARCHIVE_SCHEMA)
+    assert values(archive.groupBy("run_id").count(), "run_id", "count") == [("a", 3), ("b", 3)]
+    assert len(os.listdir(f"{result.paths.roster_archive}/run_id=b")) == 1
+    files = [name for name in os.listdir(result.paths.run_log) if name.endswith(".parquet")]
+    assert len(files) == 3 and os.listdir(f"{result.paths.run_log}/_open") == []
+
+
 def test_no_months_at_all(spark, tmp_path):
     result = run(spark, sources(spark, member_month=[]), CONFIG, AS_OF, "r", str(tmp_path), at_noon)
     assert result.period is None
@@ -198,7 +229,7 @@ def test_overflow_fails_before_any_output_or_goes_to_quarantine(spark, tmp_path)
     with pytest.raises(PySparkException, match="state is longer than 2"):
         run(spark, sources(spark, **members), CONFIG, AS_OF, "r", root, at_noon)
     assert os.listdir(root) == ["run_log"]
-    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/run_log").collect()
+    log = read_log(spark, f"{root}/run_log").collect()
     assert [row["message"] for row in log if row["check_point"] == "ERROR"][0].startswith("stage: ")
     cfg = replace(CONFIG, on_overflow="quarantine")
     result = run(spark, sources(spark, **members), cfg, AS_OF, "r", str(tmp_path / "q"), at_noon)

@@ -1,21 +1,28 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from musterroll.audit import StepLog, read_log
 from musterroll.sinks import workspace
+from musterroll.sinks.files import Files
 from musterroll.sinks.workspace import Workspace, shared_folder
 from musterroll.sinks.writers import (
     append_archive,
-    append_log,
     header_union,
     publish,
     read_archive,
     read_report,
     read_snapshot,
+    remove_old_attempts,
+    remove_old_versions,
     write_report,
+    write_report_file,
     write_version,
 )
 from tests.fixtures import local_frame, values
@@ -52,11 +59,114 @@ def test_archive_holds_each_run_once(spark, tmp_path):
         append_archive(rows(spark), path, "../x")
 
 
-def test_log_grows(spark, tmp_path):
+def test_an_attempt_that_fails_leaves_the_archive(spark, tmp_path):
+    path = str(tmp_path / "a")
+    data = rows(spark, (1, "a"), (2, "b"))
+    append_archive(data, path, "7")
+    late = data.repartition(2, "id").withColumn(
+        "name", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("name"))
+    )
+    with pytest.raises(PySparkException, match="lost"):
+        append_archive(late, path, "7")
+    assert values(read_archive(spark, path, data.schema), "id", "run_id") == [(1, "7"), (2, "7")]
+    append_archive(rows(spark, (3, "c")), path, "7")
+    assert values(read_archive(spark, path, data.schema), "id") == [(3,)]
+    assert remove_old_attempts(spark, path) == []
+    gone = remove_old_attempts(spark, path, timedelta(0))
+    assert 1 <= len(gone) <= 2 and len(os.listdir(f"{path}/run_id=7")) == 1
+    assert values(read_archive(spark, path, data.schema), "id") == [(3,)]
+
+
+def test_an_archive_that_is_not_there_is_empty(spark, tmp_path):
+    got = read_archive(spark, str(tmp_path / "none"), rows(spark).schema)
+    assert got.count() == 0 and got.columns == ["id", "name", "run_id"]
+
+
+def test_old_versions_stay_while_needed(spark, tmp_path):
+    root = str(tmp_path)
+    for version in "1234":
+        write_version(rows(spark, (int(version), "x")), f"{root}/s", version)
+    write_version(rows(spark), f"{root}/s", "failed")
+    for version in "123":
+        publish(spark, root, {"s": version})
+    reader = read_snapshot(spark, root, "s", hold=timedelta(minutes=5))
+    publish(spark, root, {"s": "4"})
+    # Replaced a moment ago: somebody may have found them just before.
+    assert remove_old_versions(spark, root, keep=1, grace=timedelta(hours=1)) == []
+    gone = remove_old_versions(spark, root, keep=1, grace=timedelta(0))
+    assert {os.path.basename(x) for x in gone} == {"version=1", "version=2", "version=failed"}
+    # The former version is not current and not among the kept ones, but has a reader.
+    assert values(reader, "id") == [(3,)]
+    assert values(read_snapshot(spark, root, "s"), "id") == [(4,)]
+    for note in Files(spark).entries(f"{root}/readers/s/3"):
+        Files(spark).move(note.path, f"{root}/readers/s/3/1-past")
+    assert remove_old_versions(spark, root, keep=2, grace=timedelta(0)) == []
+    [gone] = remove_old_versions(spark, root, keep=1, grace=timedelta(0))
+    assert gone.endswith("version=3")
+    assert values(read_snapshot(spark, root, "s"), "id") == [(4,)]
+
+
+def test_a_version_published_again_is_current(spark, tmp_path):
+    root = str(tmp_path)
+    for version in "12":
+        write_version(rows(spark, (int(version), "x")), f"{root}/s", version)
+        publish(spark, root, {"s": version})
+    publish(spark, root, {"s": "1"})
+    [gone] = remove_old_versions(spark, root, keep=1, grace=timedelta(0))
+    assert gone.endswith("version=2")
+    assert values(read_snapshot(spark, root, "s"), "id") == [(1,)]
+
+
+def test_log_of_runs_that_are_over_and_of_others(spark, tmp_path):
     path = str(tmp_path / "l")
-    append_log(rows(spark, (1, "a")), path)
-    append_log(rows(spark, (1, "a")), path)
-    assert spark.read.parquet(path).count() == 2
+    assert read_log(spark, path).count() == 0
+    over, lost = (StepLog(spark, "p", run, lambda: datetime(2024, 1, 2, 3, 4, 5, 6), path) for run in "ab")
+    for log in (over, lost):
+        with log.step("one"):
+            pass
+        log.log_step("FINISH", 'say "no"', 7)
+    open_rows = str(tmp_path / "kept")
+    os.rename(f"{path}/_open/{over._name}", open_rows)
+    os.mkdir(f"{path}/_open/{over._name}")
+    over.close()
+    assert len([x for x in os.listdir(path) if x.endswith(".parquet")]) == 1
+    want = [(run, *row) for run in "ab" for row in (
+        ("FINISH", "one", None), ("FINISH", 'say "no"', 7), ("START", "one", None))]
+    columns = "run_id", "check_point", "message", "row_count"
+    assert values(read_log(spark, path), *columns) == sorted(want, key=str)
+    assert {r.run_time for r in read_log(spark, path).collect()} == {datetime(2024, 1, 2, 3, 4, 5, 6)}
+    # The driver died between the two: the rows are there, and count once.
+    os.rename(open_rows, f"{path}/_open/{over._name}")
+    assert read_log(spark, path).count() == 6
+    lost.close()
+    assert os.listdir(f"{path}/_open") == [over._name]
+    assert read_log(spark, path).count() == 6
+
+
+def test_report_in_one_file(spark, tmp_path):
+    path = str(tmp_path / "out" / "r.txt")
+    data = spark.range(1000).selectExpr("id", "if(id = 3, 'a\tb', null) as name").repartition(7)
+    for _ in range(2):
+        write_report_file(data, path, {"Id": "id", "Name": "name"}, ["id"])
+        assert os.listdir(tmp_path / "out") == ["r.txt"]
+        lines = Path(path).read_text().splitlines()
+        assert lines[:5] == ["Id\tName", "0\t", "1\t", "2\t", '3\t"a\tb"']
+        assert [int(line.split("\t")[0]) for line in lines[1:]] == list(range(1000))
+    assert read_report(spark, path, ["Id", "Name"]).count() == 1000
+    write_report_file(data.where("id < 0"), path, {"Id": "id", "Name": "name"})
+    assert Path(path).read_text() == "Id\tName\n"
+
+
+def test_report_where_files_cannot_be_joined(spark, tmp_path, monkeypatch):
+    def cannot(*_):
+        raise OSError("store cannot join files")
+
+    monkeypatch.setattr(Files, "join", cannot)
+    path = tmp_path / "r.txt"
+    write_report_file(spark.range(20).repartition(3), str(path), ["id"], ["id"])
+    names = sorted(x.name for x in path.iterdir() if x.name.startswith("part-"))
+    lines = [line for name in names for line in (path / name).read_text().splitlines()]
+    assert lines == ["id", *map(str, range(20))]
 
 
 def test_header_union(spark):

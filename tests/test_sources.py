@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from musterroll import RosterConfig, RosterSources, load_sources
+from musterroll import RosterConfig, RosterSources, load_sources, roster_stage, run
 from musterroll.plans.cohort import latest_period
 from musterroll.sources.catalog import (
     SourceError,
@@ -13,6 +13,7 @@ from musterroll.sources.catalog import (
     read_source,
 )
 from tests.fixtures import (
+    AS_OF,
     CONFIG,
     DEFAULT_ROWS,
     LOCAL_COPIES,
@@ -131,6 +132,45 @@ def test_periods_from_a_partition_list(spark, tmp_path):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_a_registered_partition_without_rows_is_no_period(spark, tmp_path):
+    """The job and the lazy plan take the highest period that has rows."""
+    given = tables(spark)
+    name = "months_with_an_empty_partition"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        months = given["member_month"].select(
+            *[c for c in given["member_month"].columns if c != "yearmo"], "yearmo"
+        )
+        months.write.partitionBy("yearmo").option("path", str(tmp_path / "m")).saveAsTable(name)
+        newest = months.agg(F.max("yearmo")).first()[0]
+        for later in (newest + 1, newest + 2):
+            spark.sql(f"ALTER TABLE {name} ADD PARTITION (yearmo = {later})")
+        given["member_month"] = spark.table(name)
+        data = RosterSources(given, partition_values(spark, name, "yearmo"))
+        assert latest_period(data.periods).first()[0] == newest + 2
+        assert data.newest_period() == newest
+        result = run(spark, data, CONFIG, AS_OF, "r", str(tmp_path / "out"))
+        assert result.period == newest and result.counts["roster_current"] > 0
+        lazy = roster_stage(data, CONFIG, AS_OF)
+        assert lazy.count() == result.counts["stage"]
+        months.where("false").write.mode("overwrite").insertInto(name)
+        for partition in [r.yearmo for r in months.select("yearmo").distinct().collect()]:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (yearmo = {partition})")
+        empty = RosterSources({**given, "member_month": spark.table(name)},
+                              partition_values(spark, name, "yearmo"))
+        assert empty.newest_period() is None
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_newest_period_without_a_partition_list(spark):
+    given = tables(spark)
+    data = RosterSources(given)
+    assert data.newest_period() == latest_period(given["member_month"]).first()[0]
+    none = RosterSources({**given, "member_month": given["member_month"].where("false")})
+    assert none.newest_period() is None
+
+
 def test_config_from_json(tmp_path):
     path = tmp_path / "config.json"
     path.write_text(
