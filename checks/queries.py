@@ -261,7 +261,7 @@ def suppression_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     result = None
     for name, listed in lists.items():
-        kept = suppress(members, has_review_name(CONFIG), "patient_id", listed)
+        kept = suppress(members, has_review_name(CONFIG), "patient_id", listed, written=True)
         kept = kept.select(F.lit(name).alias("list"), "patient_id", "last_name")
         result = kept if result is None else result.unionByName(kept)
     return result

@@ -57,6 +57,7 @@ def suppress(
     key: str,
     listed: DataFrame,
     listed_key: str | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Delete rows where ``predicate AND key NOT IN listed`` is true.
 
@@ -65,6 +66,10 @@ def suppress(
     list holds a NULL. Both list counts come from one aggregate, as a scalar
     subquery. Only rows with a key for which the predicate is true can meet one of the
     distinct listed keys; ``df`` is evaluated once, as it may be a long plan.
+
+    With ``written`` ``df`` is a table, cheap to read again: rows that cannot meet a
+    listed key then pass the join by and are not shuffled. The others go through a semi
+    join, which Spark may precede by a Bloom filter of the listed keys.
     """
     keys = listed.select(F.col(listed_key or key).alias("_listed"))
     size = keys.agg(
@@ -78,6 +83,13 @@ def suppress(
         .distinct()
         .select("_listed", F.lit(0).cast("bigint").alias("_listed_spread"), F.lit(True).alias("_hit"))
     )
+    if written:
+        passed = df.where(~keyed & ~(candidate & (n_rows == 0)))
+        unknown = df.where(keyed & (n_rows > n_keys))
+        met = df.where(keyed & (n_rows == n_keys)).join(
+            hits.select("_listed"), F.col(key) == F.col("_listed"), "left_semi"
+        )
+        return passed.unionByName(unknown).unionByName(met)
     # Rows that are not to be joined have no key; the hash of the whole row spreads them.
     marked = df.withColumns(
         {

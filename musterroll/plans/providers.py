@@ -131,11 +131,9 @@ def attribute(
         .where(ci_eq("relationship_type", cfg.relationship_type))
         .select("patient_id", "provider_key")
     )
+    # A member has one provider key here, so what is distinct of a key's names is distinct
+    # of the member's: the short table is reduced instead of the long one.
     names = provider_dim.select("provider_key", "npi", "first_name", "middle_name", "last_name")
-    attributed = restrict_around(relations, cohort, "patient_id", highest).join(
-        names, "provider_key"
-    )
-    return distinct_folded(
-        attributed.select("patient_id", *names.columns),
-        ["npi", "first_name", "middle_name", "last_name"],
-    )
+    names = distinct_folded(names, ["npi", "first_name", "middle_name", "last_name"])
+    attributed = restrict_around(relations, cohort, "patient_id", highest)
+    return attributed.join(names, "provider_key").select("patient_id", *names.columns)

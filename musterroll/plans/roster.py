@@ -180,7 +180,8 @@ def run(
 
         routed = route(stage, cfg, sources.id_correction)
         current = replace(
-            "roster_current", suppress_unreviewed(routed.current, sources.id_correction, cfg)
+            "roster_current",
+            suppress_unreviewed(routed.current, sources.id_correction, cfg, written=True),
         )
         missing = replace("roster_missing_id", routed.missing)
         review = replace("roster_review", routed.review)

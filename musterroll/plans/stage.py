@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.config import RosterConfig
-from musterroll.functions.text import ci_prefix, distinct_folded, joined_name
+from musterroll.functions.text import ci_prefix, distinct_folded_within, joined_name
 from musterroll.operators.joins import suppress, without_keys
 from musterroll.plans.identifiers import first_ids
 from musterroll.schemas import ROSTER_COLUMNS, STAGE_SCHEMA
@@ -35,8 +35,9 @@ def assemble(
 ) -> DataFrame:
     """One distinct row per member, first payer id and contract.
 
-    Rows that differ by case or trailing blanks only are one row. All four inputs meet on the member, so each is shuffled once at most and the
-    distinct finds its rows already together. The historical id is the same on
+    Rows that differ by case or trailing blanks only are one row. All four inputs meet
+    on the member, so each is shuffled once at most and the distinct finds its rows
+    already together. The historical id is the same on
     all rows of a member, so taking it along does not change what is distinct.
     """
     ids = first_ids(ranked_ids).select(
@@ -64,7 +65,8 @@ def assemble(
         .withColumn("contract_name", F.coalesce("id_contract", "contract_name"))
         .select(*STAGE_SCHEMA.names)
     )
-    return distinct_folded(rows, [name for name in STAGE_SCHEMA.names if name != "patient_id"])
+    text = [name for name in STAGE_SCHEMA.names if name != "patient_id"]
+    return distinct_folded_within(rows, text, "patient_id")
 
 
 @dataclass(frozen=True)
@@ -108,10 +110,13 @@ def gate_counts(stage: DataFrame, cfg: RosterConfig) -> DataFrame:
 
 
 def suppress_unreviewed(
-    current: DataFrame, corrections: DataFrame, cfg: RosterConfig
+    current: DataFrame, corrections: DataFrame, cfg: RosterConfig, written: bool = False
 ) -> DataFrame:
-    """Hold back review names whose record number nobody has looked up yet."""
-    return suppress(current, has_review_name(cfg), "patient_id", corrections)
+    """Hold back review names whose record number nobody has looked up yet.
+
+    With ``written`` the rows come from a table and other names are not shuffled.
+    """
+    return suppress(current, has_review_name(cfg), "patient_id", corrections, written=written)
 
 
 def sent_rows(current: DataFrame) -> DataFrame:

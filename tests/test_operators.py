@@ -73,21 +73,62 @@ ROSTER = [(1, "8X"), (2, "8Y"), (3, "Z"), (4, None), (None, "8N")]
         ([None], [(None, "8N"), (1, "8X"), (2, "8Y"), (3, "Z"), (4, None)]),
     ],
 )
-def test_suppress_follows_three_valued_not_in(spark, listed, kept):
+@pytest.mark.parametrize("written", [False, True])
+def test_suppress_follows_three_valued_not_in(spark, listed, kept, written):
     df = spark.createDataFrame(ROSTER, "id int, name string")
     keys = spark.createDataFrame([(k,) for k in listed], "id int")
-    got = suppress(df, F.col("name").startswith("8"), "id", keys)
+    got = suppress(df, F.col("name").startswith("8"), "id", keys, written=written)
     assert values(got, "id", "name") == kept
 
 
-def test_suppress_keeps_duplicates_and_columns(spark):
+@pytest.mark.parametrize("written", [False, True])
+def test_suppress_keeps_duplicates_and_columns(spark, written):
     df = spark.createDataFrame([(1, "8X"), (1, "8X"), (2, "Q"), (2, "Q")], "id int, name string")
     keys = spark.createDataFrame([(1,), (1,)], "reviewed int")
-    got = suppress(df, F.col("name").startswith("8"), "id", keys, "reviewed")
+    got = suppress(df, F.col("name").startswith("8"), "id", keys, "reviewed", written)
     assert got.columns == ["id", "name"]
     assert got.count() == 4
 
 
+def test_rows_of_a_table_that_cannot_be_listed_are_not_shuffled(spark, tmp_path):
+    """Of 4,000 rows 40 have a name that could be held back; only these are shuffled."""
+    spark.range(4000).selectExpr(
+        "cast(id as int) as id", "if(id % 100 = 0, concat('8', id), concat('n', id)) as name"
+    ).write.parquet(str(tmp_path / "t"))
+    spark.range(300).selectExpr("cast(id as int) as id").write.parquet(str(tmp_path / "k"))
+    df, keys = (spark.read.parquet(str(tmp_path / name)) for name in "tk")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = {}
+        for written in (False, True):
+            got = suppress(df, F.col("name").startswith("8"), "id", keys, written=written)
+            assert len(got.collect()) == 3963
+            moved[written] = shuffled_rows(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert moved[False] > 4000
+    assert moved[True] < 40 + 300 + 50
+
+
+def shuffled_rows(df) -> int:
+    """Rows that the exchanges of a plan that ran have written, those of subqueries aside."""
+    found, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        metrics = node.metrics()
+        if node.nodeName() == "Exchange":
+            found += metrics.apply("shuffleRecordsWritten").value()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind in ("ShuffleQueryStageExec", "ResultQueryStageExec"):
+            nodes.append(node.plan())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return found
+
+
 def test_suppress_takes_a_frame_of_one_column(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
     keys = spark.createDataFrame([(1,)], "id int")

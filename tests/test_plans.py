@@ -484,7 +484,10 @@ def test_only_unreviewed(spark, routed_stage):
 )
 def test_suppression_of_the_current_roster(spark, routed_stage, fixes, kept):
     current = route(routed_stage, CONFIG).current
-    got = suppress_unreviewed(current, frame(spark, "id_correction", fixes), CONFIG)
+    fixes = frame(spark, "id_correction", fixes)
+    got = suppress_unreviewed(current, fixes, CONFIG)
+    again = suppress_unreviewed(current, fixes, CONFIG, written=True)
+    assert values(again, "patient_id") == values(got, "patient_id")
     assert values(got, "patient_id") == [(i,) for i in kept]
 
 

@@ -158,6 +158,8 @@ def test_one_order_of_restriction(spark, stored, threshold):
 def small_skew(spark):
     """Sizes at which adaptive execution splits already on test data."""
     settings = {
+        # With many partitions a heavy key stands far above the median, compressed or not.
+        "spark.sql.shuffle.partitions": "32",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
