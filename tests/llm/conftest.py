@@ -14,7 +14,7 @@ def sf_dir():
     return DATA
 
 
-@pytest.fixture(autouse=True, scope="session")
+@pytest.fixture(autouse=True, scope="package")
 def compiled_plans(spark):
     settings = {
         "spark.sql.codegen.wholeStage": "true",
