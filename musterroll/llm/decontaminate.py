@@ -12,6 +12,7 @@ instead of list by list. Pruning loses nothing.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -82,11 +83,36 @@ def contained(wanted: list[str], terms: list[str], n: int) -> float:
     return len(parts & have) / len(parts)
 
 
+@dataclass(frozen=True)
+class Collection:
+    """What BM25 takes from all items, whichever index they are in: their number, mean
+    length, and how many hold each term."""
+
+    items: int
+    mean: float
+    frequency: dict[str, int]
+
+    @classmethod
+    def of(cls, texts: Iterable[str]) -> Collection:
+        lists = [terms for terms in map(terms_of, texts) if terms]
+        frequency = Counter(term for terms in lists for term in set(terms))
+        return cls(len(lists), sum(map(len, lists)) / max(1, len(lists)), frequency)
+
+
 class Index:
-    """BM25 impacts of items, divided by each item's own score, in CSR arrays."""
+    """BM25 impacts of items, divided by each item's own score, in CSR arrays.
 
-    def __init__(self, items: list[tuple[int, str]], settings: Decontamination):
+    ``collection`` has the statistics of all items, these and those of other indexes.
+    """
+
+    def __init__(
+        self,
+        items: list[tuple[int, str]],
+        settings: Decontamination,
+        collection: Collection | None = None,
+    ):
         self.settings = settings
+        collection = collection or Collection.of(text for _, text in items)
         rows = [(i, text, terms_of(text)) for i, text in sorted(items)]
         rows = [row for row in rows if row[2]]
         self.ids = [row[0] for row in rows]
@@ -101,12 +127,12 @@ class Index:
                 tf[t] = tf.get(t, 0) + 1
             counts.append(tf)
         lengths = np.array([len(row[2]) for row in rows], float)
-        mean = lengths.mean() if len(rows) else 1.0
+        mean = collection.mean or 1.0
         item = np.array([i for i, tf in enumerate(counts) for _ in tf], np.int64)
         term = np.array([t for tf in counts for t in tf], np.int64)
         tf = np.array([n for tf in counts for n in tf.values()], float)
-        df = np.bincount(term, minlength=len(self.vocabulary)).astype(float)
-        idf = np.log(1 + (len(rows) - df + 0.5) / (df + 0.5))
+        df = np.array([collection.frequency[t] for t in self.vocabulary], float)
+        idf = np.log(1 + (collection.items - df + 0.5) / (df + 0.5))
         k1, b = settings.k1, settings.b
         impact = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[item] / mean))
         own = np.bincount(item, impact, minlength=len(rows))
@@ -193,24 +219,52 @@ def _expand(starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[keys][source] + offset, source
 
 
+def _terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """item_id, text -> the same with its length in terms and its distinct terms."""
+    for batch in small_batches(batches, "text"):
+        lists = [terms_of(text.as_py()) for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *batch.columns,
+                pa.array(list(map(len, lists)), pa.int64()),
+                pa.array([sorted(set(terms)) for terms in lists], pa.list_(pa.string())),
+            ],
+            [*batch.schema.names, "length", "terms"],
+        )
+
+
 def indexes(items: DataFrame, settings: Decontamination) -> Iterator[Index]:
-    """Indexes of the test items, each over at most ``max_item_bytes`` of text.
+    """Indexes of the test items, each over at most ``max_item_bytes`` bytes of text.
 
     The test set is the bounded side; items stream through the driver one index at a
-    time. Items without an id or without a word are left out; repeated items count once.
+    time, each with the frequencies of its terms among all items. Items without an id or
+    without a word are left out; repeated items count once.
     """
     rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(
         "item_id is not null and text is not null"
     )
+    listed = rows.distinct().mapInArrow(
+        _terms, "item_id long, text string, length long, terms array<string>"
+    ).where("length > 0")
+    total = listed.agg(F.count("length").alias("n"), F.sum("length").alias("length")).first()
+    mean = (total.length or 0) / max(1, total.n)
+    each = listed.select("item_id", "text", F.explode("terms").alias("term"))
+    found = each.groupBy("term").agg(F.count("term").alias("n"))
+    known = each.join(found, "term").groupBy("item_id", "text").agg(
+        F.collect_list(F.struct("term", "n")).alias("terms")
+    )
     block: list[tuple[int, str]] = []
+    frequency: dict[str, int] = {}
     size = 0
-    for row in rows.distinct().orderBy("item_id", "text").toLocalIterator():
-        if size and size + len(row.text) > settings.max_item_bytes:
-            yield Index(block, settings)
-            block, size = [], 0
+    for row in known.orderBy("item_id", "text").toLocalIterator():
+        length = len(row.text.encode())
+        if size and size + length > settings.max_item_bytes:
+            yield Index(block, settings, Collection(total.n, mean, frequency))
+            block, frequency, size = [], {}, 0
         block.append((row.item_id, row.text))
-        size += len(row.text)
-    yield Index(block, settings)
+        frequency.update(row.terms)
+        size += length
+    yield Index(block, settings, Collection(total.n, mean, frequency))
 
 
 MATCHES = "array<struct<item_id:bigint,share:double,question_overlap:double,answer_overlap:double>>"
@@ -251,7 +305,8 @@ def with_matches(
     A column of that name is replaced, all others pass through. NULL and empty texts
     have no matches; repeated rows are searched one by one; tied passages give the
     one score; an empty item table gives no matches, an empty document table no rows.
-    Document frequencies are those of an item's own index. The rows are not shuffled.
+    Frequencies and lengths are those of all items, however many indexes they make. The
+    rows are not shuffled.
     """
     context = docs.sparkSession.sparkContext
     result = docs.withColumn(into, F.expr(f"cast(array() as {MATCHES})"))
