@@ -23,15 +23,14 @@ from musterroll.llm.corpus import small_batches
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of the labelled sample: ``per_label`` texts for each dictionary and
-    ``calibration`` texts for the calibration, of at most ``bytes_each`` and
-    ``calibration_bytes`` bytes (only training texts are cut; scored texts are whole).
-    ``ridge`` is the penalty on the calibration's weights."""
+    """Bounds of the labelled sample, in rows: ``per_label`` texts for each dictionary
+    and ``calibration`` texts for the calibration, whole. Of the former, those are used,
+    in order, that together have at most ``dictionary_texts`` bytes; a text that does not
+    fit any more is passed over. ``ridge`` is the penalty on the calibration's weights."""
 
     per_label: int = 1_200
     calibration: int = 3_000
-    bytes_each: int = 16_384
-    calibration_bytes: int = 65_536
+    dictionary_texts: int = 24 << 20
     dictionary: int = 112_640
     level: int = 3
     ridge: float = 1e-3
@@ -126,42 +125,52 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Training = Training()) ->
             .withColumn("use", F.lit("dictionary"))
         )
     # At most calibration + 2 * per_label ids.
-    sample = (
-        docs.select("doc_id", "text")
-        .where("text <> ''")
-        .join(F.broadcast(chosen), "doc_id")
-        .select(
-            "use",
-            "quality",
-            "r",
-            F.substring(
-                F.encode("text", "UTF-8"),
-                F.lit(1),
-                F.when(F.col("use") == "dictionary", settings.bytes_each).otherwise(
-                    settings.calibration_bytes
-                ),
-            ),
-        )
-        .toLocalIterator()
-    )
-    rows = sorted((use, r, quality, bytes(text)) for use, quality, r, text in sample)
-    texts = {
-        label: [t for use, _, q, t in rows if use == "dictionary" and q == label]
-        for label in (0, 1)
-    }
-    if not texts[0] or not texts[1]:
-        raise ValueError("training needs texts of both labels")
-    good, bad = (_dictionary(texts[label], settings) for label in (1, 0))
-    held = [(t, q) for use, _, q, t in rows if use == "calibration"] or [
-        (t, q) for q in (0, 1) for t in texts[q]
-    ]
-    x = measures([t for t, _ in held], good, bad, settings.level)
+    sample = docs.select("doc_id", F.encode("text", "UTF-8").alias("text")).where(
+        "text is not null and octet_length(text) > 0"
+    ).join(F.broadcast(chosen), "doc_id")
+    good, bad = (_dictionary(_texts(sample, label, settings), settings) for label in (1, 0))
+    held = _measured(sample.where("use = 'calibration'"), good, bad, settings.level)
+    if len(set(held[1])) < 2:  # too few to set some apart
+        held = _measured(sample, good, bad, settings.level)
+    x, y = held
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    y = np.array([q for _, q in held], float)
     weights = calibrated((x - center) / scale, y, settings.ridge)
     return Model(good, bad, settings.level, center, scale, weights)
 
 
+def _texts(sample: DataFrame, label: int, settings: Training) -> list[bytes]:
+    """The whole texts a dictionary is trained on: their sizes first, then those that fit."""
+    mine = sample.where((F.col("use") == "dictionary") & (F.col("quality") == label))
+    sizes = mine.select("r", "doc_id", F.octet_length("text").alias("n")).collect()
+    fitting, total = [], 0
+    for row in sorted(sizes):
+        if total + row.n <= settings.dictionary_texts:
+            total += row.n
+            fitting.append(row.doc_id)
+    texts = mine.where(F.col("doc_id").isin(fitting)).select("r", "doc_id", "text").collect()
+    if not texts:
+        raise ValueError("training needs texts of both labels")
+    return [bytes(row.text) for row in sorted(texts)]
+
+
+def _measured(sample: DataFrame, good: bytes, bad: bytes, level: int):
+    """Nine measures and the label of each whole text; the texts stay in the tasks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            rows = measures(batch.column("text").to_pylist(), good, bad, level)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("r"), batch.column("quality"), pa.array(rows.tolist())],
+                ["r", "quality", "x"],
+            )
+
+    found = sample.select("r", "quality", "text").mapInArrow(
+        run, "r long, quality int, x array<double>"
+    )
+    rows = sorted((row.r, row.quality, row.x) for row in found.collect())
+    return np.array([x for _, _, x in rows]), np.array([q for _, q, _ in rows], float)
+
+
 def _dictionary(texts: list[bytes], settings: Training) -> bytes:
     """A trained dictionary; for a few small texts their own bytes."""
     try:
