@@ -24,9 +24,10 @@ BUCKETS = 1 << 16
 
 @dataclass(frozen=True)
 class Fusion:
-    """``per_language`` texts of a language, read whole, train the text model.
-    A text weighs as at most ``trigrams`` independent trigrams. The smoothing counts
-    are in pages. At most ``most_languages`` languages."""
+    """``per_language`` texts of a language, read whole, train the text model, and at
+    most as many as that for ``most_languages`` languages in all: beyond, all languages
+    share them. A text weighs as at most ``trigrams`` independent trigrams. The smoothing
+    counts are in pages."""
 
     per_language: int = 500
     trigrams: float = 40.0
@@ -70,6 +71,28 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def least_hashes(rows: DataFrame, each: int, bits: int = 12) -> DataFrame:
+    """Of ``rows`` (doc_id, lang) the ``each`` of every language with the least hashes.
+
+    Rows are counted by language and leading bits of the hash, and only those that may be
+    among the least go on to be counted by more bits. What is ranked in the end is hardly
+    more than what is kept, also of a language with most rows.
+    """
+    # Without its sign, so that leading bits keep the order.
+    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
+    for level in (1, 2):
+        part = F.shiftright("h", 63 - bits * level)
+        counts = rows.groupBy("lang", part.alias("part")).agg(F.count("h").alias("n"))
+        order = Window.partitionBy("lang").orderBy("part")
+        before = counts.select("lang", "part", (F.sum("n").over(order) - F.col("n")).alias("n"))
+        # As many rows come before the last part that is needed as are wanted, or fewer.
+        last = before.where(F.col("n") < each).groupBy("lang").agg(F.max("part").alias("last"))
+        rows = rows.join(last, "lang").where(part <= F.col("last")).drop("last")
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ranked = rows.withColumn("n", F.row_number().over(order))
+    return ranked.where(F.col("n") <= each).select("doc_id", "lang")
+
+
 def fit(docs: DataFrame, settings: Fusion = Fusion()) -> TextModel:
     """The text model from ``docs`` (doc_id, text, lang): per language the rows with the
     least hash of doc_id. Rows with a NULL or empty field are not used."""
@@ -78,15 +101,7 @@ def fit(docs: DataFrame, settings: Fusion = Fusion()) -> TextModel:
     languages = rows.select("lang").distinct().count()
     bound = settings.per_language * settings.most_languages
     each = min(settings.per_language, max(1, bound // max(1, languages)))
-    chosen = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", "lang"), 256).alias("part"))
-    # Parts of a language first, so that one task meets a bounded number of its rows.
-    for keys in (["lang", "part"], ["lang"]):
-        order = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
-        chosen = (
-            chosen.withColumn("n", F.row_number().over(order))
-            .where(F.col("n") <= each)
-            .drop("n")
-        )
+    chosen = least_hashes(rows.select("doc_id", "lang"), each)
     chosen = chosen.select("doc_id", F.col("lang").alias("language"))
     sample = (
         rows.select("doc_id", "text")
