@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from musterroll.llm.quality_rules import RULES, HostRules
-from musterroll.llm.warc import ENTITIES, STEPS
+from musterroll.llm.warc import ENTITY, NAMES, REPLACEMENT, STEPS
 
 CRLF = "chr(13) || chr(10)"
 
@@ -24,9 +24,18 @@ def _plain_text(column: str) -> str:
     for pattern, into in STEPS:
         into = "chr(10)" if into == "\n" else _quoted(into)
         column = f"regexp_replace({column}, {_quoted(pattern)}, {into}, 'g')"
-    for entity, character in ENTITIES.items():
-        column = f"replace({column}, {_quoted(entity)}, {_quoted(character)})"
-    return column
+    names, characters = (", ".join(map(_quoted, x)) for x in zip(*NAMES.items()))
+    number = """(CASE WHEN lower(e[:2]) = '#x' THEN try_cast('0x' || e[3:] AS BIGINT)
+      ELSE try_cast(e[2:] AS BIGINT) END)"""
+    character = f"""CASE WHEN e[1] <> '#' THEN MAP([{names}], [{characters}])[e]
+      WHEN {number} = 160 THEN ' '
+      WHEN {number} BETWEEN 1 AND 1114111 AND {number} NOT BETWEEN 55296 AND 57343
+      THEN chr({number}::INT) ELSE {_quoted(REPLACEMENT)} END"""
+    piece = f"""list_transform(string_split({column}, '&')[2:], lambda p:
+      list_transform([regexp_extract(p, {_quoted(ENTITY)}, 1)], lambda e:
+        CASE WHEN e = '' THEN '&' || p
+        ELSE coalesce({character} || p[length(e) + 2:], '&' || p) END)[1])"""
+    return f"string_split({column}, '&')[1] || array_to_string({piece}, '')"
 
 
 WARC = f"""

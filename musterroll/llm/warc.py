@@ -8,6 +8,8 @@ so a repeated run, or a task run again, gives the same records.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,28 +21,32 @@ LINES = (
     "address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|"
     "header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
 )
-ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
 BLANK = r"[ \t\r\n\f]"
-# In this order; each is replaced everywhere.
+# The rest of a tag: what is quoted after an equals sign may hold its end.
+ATTRIBUTES = rf"""[^>=]*(?:=(?:{BLANK}*"[^"]*"|{BLANK}*'[^']*')?[^>=]*)*"""
+# In this order; each is replaced everywhere. A hidden element ends at its own end tag.
 STEPS = [
-    (rf"(?is)<({HIDDEN})({BLANK}[^>]*)?>.*?</({HIDDEN}){BLANK}*>", " "),
+    (
+        "(?is)" + "|".join(
+            rf"<{name}(?:[/ \t\r\n\f]{ATTRIBUTES})?>.*?</{name}{BLANK}*>"
+            for name in HIDDEN.split("|")
+        ),
+        " ",
+    ),
     (r"(?s)<!--.*?-->", " "),
-    (rf"(?is)</?({LINES})({BLANK}[^>]*|/)?>", "\n"),
-    (r"(?s)</?[a-zA-Z!?][^>]*>", ""),
+    (rf"(?is)</?({LINES})([/ \t\r\n\f]{ATTRIBUTES})?>", "\n"),
+    (rf"(?s)</?[a-zA-Z!?]{ATTRIBUTES}>", ""),
     (r"[ \t\r\f\x0B]+", " "),
     (r" ?\n[ \n]*", "\n"),
     (r"\A[ \n]+|[ \n]+\z", ""),
 ]
+# Decoded after the tags are gone, each once. A non-breaking space becomes a blank.
+ENTITY = r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,30});"
+NAMES = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {
+    "apos": "'",
+    "nbsp": " ",
+}
+REPLACEMENT = "\uFFFD"
 RECORD_COLUMNS = [
     "warc_type",
     "record_id",
@@ -56,12 +62,40 @@ RECORD_COLUMNS = [
 
 
 def plain_text(html: Column) -> Column:
-    """Text of HTML: hidden elements and comments go, block tags become line ends."""
+    """Text of HTML: hidden elements and comments go, block tags become line ends.
+
+    Numeric entities and those of HTML 4 by name are decoded; other names stay as they
+    are, and a number that is no character becomes U+FFFD. A hidden element without its
+    end tag, and a tag without its end, are text. Texts are taken whole.
+    """
     for pattern, into in STEPS:
         html = F.regexp_replace(html, pattern, into)
-    for entity, character in ENTITIES.items():
-        html = F.replace(html, F.lit(entity), F.lit(character))
-    return html
+    pieces = F.split(html, "&")
+    decoded = F.concat(
+        F.element_at(pieces, 1),
+        F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), _decoded), ""),
+    )
+    return F.when(F.contains(html, F.lit("&")), decoded).otherwise(html)
+
+
+def _decoded(piece: Column) -> Column:
+    """``piece``, which an ampersand came before, with its entity as a character."""
+    name = F.regexp_extract(piece, ENTITY, 1)
+    number = F.when(
+        F.lower(F.substring(name, 1, 2)) == "#x", F.conv(F.substring(name, 3, 6), 16, 10)
+    ).otherwise(F.substring(name, 2, 8)).cast("long")
+    is_character = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    named = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
+    into = (
+        F.when(~name.startswith("#"), named[name])
+        .when(number == 0xA0, " ")
+        .when(is_character, character)
+        .otherwise(REPLACEMENT)
+    )
+    rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+    kept = F.concat(F.lit("&"), piece)
+    return F.when(name == "", kept).otherwise(F.coalesce(F.concat(into, rest), kept))
 
 
 def urn(*parts: Column) -> Column:
