@@ -46,6 +46,21 @@ def small_batches(
             start = end
 
 
+def without(df: DataFrame, keys: DataFrame, on: str, most: int = 100_000) -> DataFrame:
+    """Rows of ``df`` whose ``on`` is not in ``keys`` (distinct, stored, no NULL).
+
+    Keys are broadcast if there are at most ``most``, and ``df`` is then not shuffled.
+    Otherwise each key is repeated for a number of shares among which the rows of ``df``
+    are dealt, so that a heavy key is many tasks' work.
+    """
+    if keys.count() <= most:
+        return df.join(F.broadcast(keys.select(on)), on, "left_anti")
+    shares = 64
+    share = F.pmod(F.monotonically_increasing_id(), F.lit(shares)).cast("int").alias("_share")
+    every = keys.select(on, F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_share"))
+    return df.select("*", share).join(every, [on, "_share"], "left_anti").drop("_share")
+
+
 def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` under names that no helper column has, and each column's name there."""
     names = [f"column{k}" for k in range(len(docs.columns))]

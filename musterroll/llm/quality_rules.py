@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from musterroll.llm.corpus import WHITE_SPACE, set_apart, stored
+from musterroll.llm.corpus import WHITE_SPACE, set_apart, stored, without
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RULES = ["failed_length", "failed_repeats", "failed_symbols", "failed_lines"]
@@ -181,5 +181,5 @@ def kept_documents(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame
         .select("host", F.when(~F.greatest(*RULES), F.col("row")).alias("row"), *RULES)
     )
     bad = stored(failed_hosts(judged, rules))
-    kept = judged.where("row is not null").join(bad, "host", "left_anti")
+    kept = without(judged.where("row is not null"), bad, "host")
     return kept.select("row.*").toDF(*docs.columns)
