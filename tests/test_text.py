@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from musterroll.config import SEX_CODES, SEX_OTHER
+from musterroll.functions import text
 from musterroll.functions.text import (
     ci_eq,
     ci_in,
@@ -15,6 +16,7 @@ from musterroll.functions.text import (
     recode,
     strip_prefix,
 )
+from tests.fixtures import local_frame
 
 
 def evaluate(spark, inputs, *expressions):
@@ -92,3 +94,49 @@ def test_joined_name_is_null_if_a_part_is(spark):
 @pytest.mark.parametrize("day,text", [("1980-01-02", "19800102"), (None, None)])
 def test_day_text(spark, day, text):
     assert evaluate(spark, [day], day_text(F.to_date("x"))) == [(text,)]
+
+
+LOOKALIKES = ["north", "NORTH ", "North Plan", "\u212aelvin", "KELVIN", "kelvin  ", "\u0130stan", "i\u0307stan",
+              "ISTAN", "", "  ", None, "nort", "77a", "7 7", "\u00c5ngstr\u00f6m", "\u212bngstr\u00d6m", "\u1e9e", "\u00df",
+              "\u039f\u0394\u039f\u03a3", "\u03bf\u03b4\u03bf\u03c2", "\u03a3\u03b1", "\u03c3\u03b1"]
+
+
+@pytest.mark.parametrize("literal", ["North", "kelvin", "K", "i\u0307stan", "i", "", " ", "77", "\u00e5ngstr\u00f6m", "\u00df",
+                                     "\u039f\u0394\u039f\u03a3", "\u03c3\u03b1"])
+def test_implied_beginnings_lose_nothing(spark, literal):
+    """Tests with the weaker one beside them give what the folded comparison alone gives."""
+    df = local_frame(spark, [(x,) for x in LOOKALIKES], "x string")
+    exact = text.fold("x") == text.fold_text(literal)
+    prefix = F.lower("x").startswith(literal.lower())
+    got = df.select(
+        text.ci_eq("x", literal), text.ci_in("x", [literal, "north"]), text.ci_prefix("x", literal),
+        exact, text.fold("x").isin([text.fold_text(literal), "north"]), prefix,
+    ).collect()
+    for row in got:
+        # A filter keeps what is true.
+        assert [x is True for x in row[:3]] == [x is True for x in row[3:]]
+
+
+def test_every_spelling_of_a_letter_is_known(spark):
+    """The session's own lower case knows no other character than the ones spelt out."""
+    df = spark.range(1, 0x3000).selectExpr("cast(id as int) as c").where("c not between 55296 and 57343")
+    chars = df.select(F.decode(F.unhex(F.lpad(F.hex("c"), 8, "0")), "UTF-32").alias("x"))
+    found = {}
+    for row in chars.select("x", F.lower("x").alias("y")).collect():
+        found.setdefault(row.y[:1], set()).add(row.x)
+    for letter in "abcdefghijklmnopqrstuvwxyz0789\u00e5\u00df":
+        assert found[letter] <= set(text.spellings(letter))
+
+
+def test_beginnings_reach_the_file_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr(
+        "concat(if(id < 10, 'NORTH ', 'south '), id) as x", "cast(id as string) as y"
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    for test, n in ((text.ci_prefix("x", "north"), 10), (text.ci_eq("x", "North 3"), 1),
+                    (text.ci_in("x", ["north 3 ", "SOUTH 11"]), 2), (text.ci_prefix("y", "77"), 11)):
+        got = df.where(test)
+        assert got.count() == n
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "StringStartsWith(" in plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
