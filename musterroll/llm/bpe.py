@@ -5,8 +5,10 @@ own, in parallel; where a chunk's boundaries meet those of the chunk before insi
 the overlap, both go on alike, since a pre-token depends only on what follows its
 start. The chunks are stitched at the first such boundary and the pieces between
 stitches are encoded. A chunk that shares no boundary with the one before it (one
-pre-token longer than the overlap) is joined to it. A text of one chunk has nothing
-to stitch and is not shuffled. Decoding joins the bytes of the ids.
+pre-token longer than the overlap) is joined to it. Chunks of a long text are rows of
+their own and any task's work; those of other texts stay in the task that has the text,
+which is not shuffled. A text of one chunk is one piece. Decoding joins the bytes of the
+ids.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 @dataclass(frozen=True)
 class Chunks:
-    """Characters of a chunk and of its overlap with the next."""
+    """Characters of a chunk and of its overlap with the next, and of the longest text
+    whose chunks stay in one task."""
 
-    size: int = 65_536
-    overlap: int = 1_024
+    size: int = 4_096
+    overlap: int = 256
+    spread: int = 65_536
 
 
 def load_ranks(path: str = RANKS) -> dict[bytes, int]:
@@ -66,13 +70,39 @@ def boundaries(chunk: str, pattern: str, last: bool) -> list[int]:
     return [0, *(m.end() for m in _splitter(pattern).finditer(chunk) if m.end() <= sure)]
 
 
-def _encoding_task(path: str, pattern: str, place: int, column: int):
+def pieces_of(text: str, pattern: str, chunks: Chunks) -> list[str]:
+    """``text`` cut where chunks are stitched: at the first boundary that a chunk shares
+    with the one before it. After a chunk that shares none nothing is known to be in step."""
+    size, overlap = chunks.size, chunks.overlap
+    starts, tail = [0], set()
+    for at in range(0, len(text), size):
+        last = at + size >= len(text)
+        found = [at + b for b in boundaries(text[at : at + size + overlap], pattern, last)]
+        if at:
+            shared = tail.intersection(b for b in found if b < at + overlap)
+            if not shared:
+                break
+            starts.append(min(shared))
+        tail = {b for b in found if b >= at + size}
+    return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+
+
+def _encoding_task(
+    path: str, pattern: str, place: int, column: int, chunks: Chunks | None = None
+):
+    """With ``chunks`` the texts are cut into pieces first, else they are pieces."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path, pattern).encode_ordinary
+
+        def ids_of(text: str) -> np.ndarray:
+            if chunks is None or len(text) <= chunks.size:
+                return np.array(encode(text), np.int32)
+            pieces = pieces_of(text, pattern, chunks)
+            return np.concatenate([np.array(encode(piece), np.int32) for piece in pieces])
+
         for batch in small_batches(batches, place):
-            ids = [
-                np.array(encode(text.as_py() or ""), np.int32) for text in batch.column(place)
-            ]
+            ids = [ids_of(text.as_py() or "") for text in batch.column(place)]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             lists = pa.ListArray.from_arrays(
                 pa.array(ends), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]))
@@ -125,10 +155,12 @@ def _splitting_task(pattern: str, chunks: Chunks):
     return cut, split
 
 
-def _encoded(pieces: DataFrame, text: str, path: str, pattern: str) -> DataFrame:
+def _encoded(
+    pieces: DataFrame, text: str, path: str, pattern: str, chunks: Chunks | None = None
+) -> DataFrame:
     result = pieces.withColumn("ids", F.expr("cast(array() as array<int>)"))
     task = _encoding_task(
-        path, pattern, pieces.columns.index(text), result.columns.index("ids")
+        path, pattern, pieces.columns.index(text), result.columns.index("ids"), chunks
     )
     return result.mapInArrow(task, result.schema)
 
@@ -142,18 +174,18 @@ def encoded(
     """``doc_id, ids`` per row of ``docs`` (doc_id, text), without special tokens.
 
     NULL and empty texts have no ids. Repeated rows are returned as often as they
-    occur: equal rows of more than one chunk are encoded once and repeated. Other
+    occur: equal rows whose chunks are spread are encoded once and repeated. Other
     columns are ignored. An empty table gives no rows. The ids of one document are
     one array; all else is per chunk.
     """
     size = chunks.size
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    short = rows.where(F.length("text") <= size)
-    whole = _encoded(short, "text", path, pattern).select("doc_id", "ids")
+    near = rows.where(F.length("text") <= chunks.spread)
+    whole = _encoded(near, "text", path, pattern, chunks).select("doc_id", "ids")
 
     cut, split = _splitting_task(pattern, chunks)
     found = (
-        rows.where(F.length("text") > size)
+        rows.where(F.length("text") > chunks.spread)
         .withColumn("key", F.sha2("text", 256))
         .mapInArrow(cut, "doc_id long, key string, k int, last boolean, chunk string")
         .groupBy("doc_id", "key", "k")

@@ -65,16 +65,17 @@ def test_bpe_query(spark, sf_dir, texts, library):
     assert got == {i: token_row(library, text) for i, text in texts.items()}
 
 
-@pytest.mark.parametrize("size, overlap", [(64, 16), (40, 4), (500, 40)])
-def test_bpe_stitches_small_chunks(documents, texts, library, size, overlap):
+@pytest.mark.parametrize("size, overlap, spread", [(64, 16, 64), (40, 4, 6000), (500, 40, 1500)])
+def test_bpe_stitches_small_chunks(documents, texts, library, size, overlap, spread):
     some = documents.where("length(text) < 6000")
-    got = {r.doc_id: r.ids for r in bpe.encoded(some, chunks=bpe.Chunks(size, overlap)).collect()}
+    chunks = bpe.Chunks(size, overlap, spread)
+    got = {r.doc_id: r.ids for r in bpe.encoded(some, chunks=chunks).collect()}
     want = {i: library.encode_ordinary(t) for i, t in texts.items() if len(t) < 6000}
     assert got == want
 
 
 def test_bpe_odd_rows(odd, library):
-    rows = bpe.encoded(odd, chunks=bpe.Chunks(256, 32)).collect()
+    rows = bpe.encoded(odd, chunks=bpe.Chunks(256, 32, 256)).collect()
     got = Counter((r.doc_id, tuple(r.ids)) for r in rows)
     assert got == Counter(
         (r.doc_id, tuple(library.encode_ordinary(r.text or ""))) for r in odd.collect()
@@ -93,8 +94,23 @@ def test_bpe_pathological_cuts(spark, library):
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for size, overlap in ((32, 8), (33, 5), (100, 3)):
-        got = {r.doc_id: r.ids for r in bpe.encoded(df, chunks=bpe.Chunks(size, overlap)).collect()}
-        assert got == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+        want = {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+        spread = bpe.Chunks(size, overlap, size)
+        assert {r.doc_id: r.ids for r in bpe.encoded(df, chunks=spread).collect()} == want
+        for i, text in enumerate(texts):
+            pieces = bpe.pieces_of(text, bpe.public_tokenizers.PATTERN, bpe.Chunks(size, overlap))
+            assert "".join(pieces) == text
+            assert [x for piece in pieces for x in library.encode_ordinary(piece)] == want[i]
+
+
+def test_bpe_most_text_is_stitched(texts):
+    """Texts of more than one chunk are cut into about as many pieces as they have chunks."""
+    chunks, cut, pieces = bpe.Chunks(), 0, 0
+    for text in texts.values():
+        if text and len(text) > chunks.size:
+            cut += -(-len(text) // chunks.size)
+            pieces += len(bpe.pieces_of(text, bpe.public_tokenizers.PATTERN, chunks))
+    assert pieces > 0.98 * cut > 0
 
 
 def test_bpe_splitter_agrees_with_the_library(library):
