@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from musterroll.schemas import FLAG, KIND_TYPES, SOURCE_COLUMNS
+from musterroll.sources.ranges import planned
 
 # A remote copy of each of these may be given; "local" as its source says that the local
 # table is to be used for it.
@@ -21,6 +22,7 @@ REMOTE_COPIES = {
 JDBC_REQUIRED = ("url", "dbtable")
 LOCAL = "local"
 JDBC_BOUNDS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+JDBC_PLANNED = ("splitColumn", "parts")
 
 
 class SourceError(ValueError):
@@ -48,22 +50,43 @@ def check_source(df: DataFrame, name: str) -> DataFrame:
 def jdbc_options(spec: Mapping[str, Any]) -> dict[str, str]:
     """Reader options of a remote table.
 
-    A table is read in ranges, all four bounds given, or says ``single_task: true`` if
+    A table is read in ranges planned from the values of ``splitColumn``, about ``parts``
+    of them, or in even ones with all four bounds given, or says ``single_task: true`` if
     it is small enough to be read by one task.
     """
     lacking = [key for key in JDBC_REQUIRED if not spec.get(key)]
     if lacking:
         raise SourceError(f"remote source lacks {lacking}")
     given = [key for key in JDBC_BOUNDS if key in spec]
+    by_plan = [key for key in JDBC_PLANNED if key in spec]
+    if by_plan and (len(by_plan) < len(JDBC_PLANNED) or given or "single_task" in spec):
+        raise SourceError(f"ranges are planned by {list(JDBC_PLANNED)} and nothing else")
     if given and len(given) != len(JDBC_BOUNDS):
         raise SourceError(f"a parallel remote read needs all of {list(JDBC_BOUNDS)}")
-    if not given and spec.get("single_task") is not True:
-        raise SourceError(f"a remote table needs {list(JDBC_BOUNDS)}, or single_task: true")
-    options = {key: str(value) for key, value in spec.items() if key != "single_task"}
+    if not given and not by_plan and spec.get("single_task") is not True:
+        raise SourceError(
+            f"a remote table needs {list(JDBC_PLANNED)}, {list(JDBC_BOUNDS)} or single_task: true"
+        )
+    own = ("single_task", *JDBC_PLANNED)
+    options = {key: str(value) for key, value in spec.items() if key not in own}
     options.setdefault("fetchsize", "10000")
     return options
 
 
+def read_remote(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
+    """A table over JDBC, by ranges of its key that are planned when it is read."""
+    options = jdbc_options(spec)
+    if "splitColumn" not in spec:
+        return spark.read.format("jdbc").options(**options).load()
+    table, url = options.pop("dbtable"), options.pop("url")
+
+    def ask(query: str):
+        return spark.read.format("jdbc").options(url=url, query=query, **options).load().collect()
+
+    ranges = planned(ask, table, str(spec["splitColumn"]), int(spec["parts"]))
+    return spark.read.jdbc(url, table, predicates=ranges, properties=options)
+
+
 def read_source(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
     """One of ``{"parquet": path}``, ``{"table": name}``, ``{"jdbc": {...}}``."""
     if len(spec) != 1:
@@ -74,7 +97,7 @@ def read_source(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
     if kind == "table":
         return spark.table(value)
     if kind == "jdbc":
-        return spark.read.format("jdbc").options(**jdbc_options(value)).load()
+        return read_remote(spark, value)
     raise SourceError(f"unknown kind of source: {kind}")
 
 
