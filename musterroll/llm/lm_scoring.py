@@ -81,50 +81,53 @@ class Grams:
 
     ``tokens`` is all texts one after the other, each begun by BEGIN and closed by END;
     ``starts`` has the place of each BEGIN, which an n-gram may hold as its first token.
+    ``at`` has, for each level, the number of the n-gram that ends at each place, or -1.
     """
 
-    def __init__(self, texts: list[str | None], training: np.ndarray, order: int):
+    def __init__(self, texts: list[bytes | None], training: np.ndarray, order: int):
         numbers = Numbers()
         pieces, starts, size = [], [], 0
         for text in texts:
-            # bytes.lower changes A-Z only.
-            words = (text or "").encode().lower().split()
+            words = (text or b"").lower().split()  # of bytes: A-Z and these six blanks only
             known = map(numbers.__getitem__, words)
             pieces.append(np.fromiter(chain((BEGIN,), known, (END,)), np.int64, len(words) + 2))
             starts.append(size)
             size += len(words) + 2
         self.tokens = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
         self.starts = np.array(starts, np.int64)
-        self.width = len(numbers) + 2
         names = [b" ", b"\n", *numbers]  # no word holds a blank
         self.names = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
         lengths = np.diff(np.r_[self.starts, size])
         place = np.arange(size) - np.repeat(self.starts, lengths)
+        self.at: list[np.ndarray] = []
         self.levels = list(self._levels(order, np.repeat(training, lengths), place))
 
     def _levels(self, order: int, learnt: np.ndarray, place: np.ndarray) -> Iterator[Level]:
-        # ``at``: the number of the n-gram that ends at each place; the empty one is 0.
-        at, names = np.zeros(len(self.tokens), np.int64), np.zeros(1, np.uint64)
-        for n in range(1, order + 1):
-            inside = place >= n - 1
-            before = np.r_[0, at[:-1]] if n > 1 else at
-            key = np.where(inside, before * self.width + self.tokens, -1)
-            distinct, first, number = np.unique(key, return_index=True, return_inverse=True)
-            skip = int(len(distinct) > 0 and distinct[0] < 0)
-            first, number = first[skip:], number - skip
+        """n-grams are numbered by their hashes, which come from the one before's."""
+        words = _mixed(self.names)
+        by_hash = np.argsort(words)
+        number = np.empty(len(words), np.int64)
+        number[by_hash] = np.arange(len(words))
+        at, hashes = number[self.tokens], words[self.tokens]
+        none = np.zeros(len(words), np.int64)
+        count = np.bincount(at[learnt], minlength=len(words))
+        self.at.append(at)
+        yield Level(words[by_hash], by_hash, none, none, count)
+        for n in range(2, order + 1):
+            before, hashes = np.r_[0, at[:-1]], np.r_[hashes[:1], hashes[:-1]]
             with np.errstate(over="ignore"):
-                hashes = _mixed(
-                    names[before[first]] * np.uint64(0x9E3779B97F4A7C15)
-                    + self.names[self.tokens[first]]
-                )
-            count = np.bincount(number[learnt & inside], minlength=len(first))
-            order_of = np.argsort(hashes, kind="stable")
-            first, names = first[order_of], hashes[order_of]
-            yield Level(names, self.tokens[first], before[first], at[first], count[order_of])
-            moved = np.empty(len(first), np.int64)
-            moved[order_of] = np.arange(len(first))
-            at = np.full(len(at), -1)
-            at[inside] = moved[number[inside]]
+                hashes = _mixed(hashes * np.uint64(0x9E3779B97F4A7C15) + self.names[self.tokens])
+            inside = np.flatnonzero(place >= n - 1)
+            by_hash = inside[np.argsort(hashes[inside])]
+            distinct = hashes[by_hash]
+            new = np.r_[True, distinct[1:] != distinct[:-1]][: len(distinct)]
+            here = np.full(len(at), -1)
+            here[by_hash] = np.cumsum(new) - 1
+            first = by_hash[new]
+            count = np.bincount(here[inside][learnt[inside]], minlength=len(first))
+            yield Level(distinct[new], self.tokens[first], before[first], at[first], count)
+            self.at.append(here)
+            at = here
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -199,63 +202,79 @@ def _answers_task(table: pa.Table) -> pa.Table:
 
 def _grams(table: pa.Table, settings: BackoffModel) -> Grams:
     training = table.column("training").to_numpy(zero_copy_only=False).astype(bool)
-    return Grams(table.column("text").to_pylist(), training, settings.order)
+    return Grams(table.column("text").cast(pa.binary()).to_pylist(), training, settings.order)
 
 
 class Automaton:
     """States, arcs and failure arcs that a bucket's texts can reach.
 
-    ``counts`` has the corpus counts of the n-grams of each level. ``arc`` leads from
-    state * width + token to a place in ``weight`` and ``target``.
+    ``counts`` has the corpus counts of the n-grams of each level. An n-gram that
+    occurs in training is an arc, from the state of its context with its last token.
+    Arcs are numbered level by level; ``arcs`` has the number of each n-gram, or -1, so
+    that the arc of the next token is found by the n-gram that ends there.
     """
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, types: int, prior: float):
-        self.width = grams.width
-        self.arc: dict[int, int] = {}
+        self.arcs: list[np.ndarray] = []
         self.weight: list[float] = []
         self.target: list[int] = []
-        self.back, self.fail = [0.0], [ROOT]
+        # Of each state: weight and target of its failure arc, tokens of its context.
+        self.back, self.fail, self.depth = [0.0], [ROOT], [0]
         # Of the n-grams one shorter: count, probability, and their state or, if they are
         # none, that of the longest context they end in.
         held, chance, state = np.array([tokens]), np.ones(1), np.array([ROOT])
         for n, (level, count) in enumerate(zip(grams.levels, counts), 1):
             if n == 1:
                 chance = (count + 1) / (tokens + types + 1)
-                seen = level.last != BEGIN
+                seen = level.last != BEGIN  # the empty context has an arc for any token
             else:
                 context = held[level.prefix]
                 chance = (count + prior * chance[level.suffix]) / (context + prior)
-                # Its context is a state, and the n-grams it ends in were seen as well.
                 seen = count > 0
-            source, shorter = state[level.prefix], state[level.suffix]
+            shorter = state[level.suffix]
             # A text's end is no context, nor are the longest n-grams.
             longer = (count > 0) & (level.last != END) & (n < len(grams.levels))
-            own = len(self.back) - 1 + np.cumsum(longer)
-            state = np.where(longer, own, shorter)
+            state = np.where(longer, len(self.back) - 1 + np.cumsum(longer), shorter)
             self.back += np.log10(prior / (count[longer] + prior)).tolist()
             self.fail += shorter[longer].tolist()
-            arcs = (source[seen] * self.width + level.last[seen]).tolist()
-            self.arc.update(zip(arcs, range(len(self.weight), len(self.weight) + len(arcs))))
+            self.depth += [n] * int(longer.sum())
+            self.arcs.append(np.where(seen, len(self.weight) - 1 + np.cumsum(seen), -1))
             self.weight += np.log10(chance[seen]).tolist()
             self.target += state[seen].tolist()
             if n == 1:
                 self.start = int(state[np.flatnonzero(level.last == BEGIN)[0]])
             held = count
 
-    def score(self, tokens: list[int]) -> float:
-        """Log10 probability of a text's tokens, in one walk from left to right."""
-        arc, weight, target, back, fail = self.arc, self.weight, self.target, self.back, self.fail
-        state, total, width = self.start, 0.0, self.width
-        for token in tokens:
-            found = arc.get(state * width + token)
-            while found is None:
+    def score(self, tokens: list[list[int]]) -> float:
+        """Log10 probability of a text, in one walk from left to right.
+
+        ``tokens`` has, for each token, the arcs of the n-grams of each length that end
+        with it, or -1: the one of the state's context and the token is what it is after.
+        """
+        weight, target, back = self.weight, self.target, self.back
+        fail, depth = self.fail, self.depth
+        state, total = self.start, 0.0
+        for arcs in tokens:
+            arc = arcs[depth[state]]
+            while arc < 0:
                 total += back[state]
                 state = fail[state]
-                found = arc.get(state * width + token)
-            total += weight[found]
-            state = target[found]
+                arc = arcs[depth[state]]
+            total += weight[arc]
+            state = target[arc]
         return total
 
+    def scores(self, grams: Grams) -> list[float]:
+        ends = np.r_[grams.starts[1:], len(grams.tokens)]
+        result = []
+        for start, end in zip(grams.starts + 1, ends):
+            found = []
+            for arcs, at in zip(self.arcs, grams.at):
+                here = at[start:end]
+                found.append(np.where(here >= 0, arcs[here], -1) if len(arcs) else here)
+            result.append(self.score(np.stack(found, axis=1).tolist()))
+        return result
+
 
 SCORES = (
     "doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long,"
@@ -282,29 +301,24 @@ def _scores_task(settings: BackoffModel):
         begins = int(counts[0][first.last == BEGIN].sum())
         tokens = int(answers.column("tokens").to_numpy()[ours].sum()) - begins
         types = int(answers.column("types").to_numpy()[ours].sum()) - (begins > 0)
-        count = np.zeros(grams.width, np.int64)
+        count = np.zeros(len(first.last), np.int64)
         count[first.last] = counts[0]
         base = np.log10((count + 1) / (tokens + types + 1))
         automaton = Automaton(grams, counts, tokens, types, settings.prior)
-        rows = []
-        for a, b in zip(grams.starts, np.r_[grams.starts[1:], len(grams.tokens)]):
-            text = grams.tokens[a + 1 : b]
-            rows.append(
-                (
-                    len(text), int(np.count_nonzero(count[text])), tokens,
-                    math.fsum(base[text].tolist()), automaton.score(text.tolist()),
-                )
-            )
-        columns = list(zip(*rows)) if rows else [()] * 5
-        kinds = pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()
+        texts = [
+            grams.tokens[a + 1 : b]
+            for a, b in zip(grams.starts, np.r_[grams.starts[1:], len(grams.tokens)])
+        ]
+        columns = [
+            pa.array([len(text) for text in texts], pa.int64()),
+            pa.array([np.count_nonzero(count[text]) for text in texts], pa.int64()),
+            pa.array([tokens] * len(texts), pa.int64()),
+            pa.array([math.fsum(base[text].tolist()) for text in texts], pa.float64()),
+            pa.array(automaton.scores(grams), pa.float64()),
+        ]
         training = docs.column("training").to_numpy(zero_copy_only=False).astype(bool)
         return pa.table(
-            [
-                docs.column("doc_id"),
-                pa.array(~training),
-                *[pa.array(x, kind) for x, kind in zip(columns, kinds)],
-            ],
-            names=names,
+            [docs.column("doc_id"), pa.array(~training), *columns], names=names
         )
 
     return run

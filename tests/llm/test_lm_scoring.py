@@ -90,16 +90,40 @@ def test_without_training_texts(spark):
 
 def test_probabilities_add_up():
     """Every state's chances of all known tokens and of one unknown token are 1 together."""
-    texts = ["a b a b c", "b a c c", "", "a b d z"]
+    texts = [b"a b a b c", b"b a c c", b"", b"a b d z"]
     grams = Grams(texts, np.array([True, True, True, False]), 3)
     counts = [level.count for level in grams.levels]
     model = Automaton(grams, counts, 12, 4, 0.7)
-    known = [t for t in grams.levels[0].last[grams.levels[0].count > 0].tolist() if t]
-    unknown = next(t for t in grams.levels[0].last.tolist() if t > 1 and t not in known)
-    assert len(model.back) > 5
-    for state in range(len(model.back)):
+    names = dict(zip(grams.levels[0].last.tolist(), range(len(counts[0]))))
+    known = [t for t in names if t and counts[0][names[t]]]
+    unknown = next(t for t in names if t > 1 and t not in known)
+    # The context's n-gram of each state, and from it the arc of each token.
+    context = {model.start: (1, names[0]), 0: (0, 0)}
+    for n, level in enumerate(grams.levels[:-1], 1):
+        for g in np.flatnonzero((counts[n - 1] > 0) & (level.last != 1)):
+            arc = model.arcs[n - 1][g]
+            if arc >= 0:
+                context[model.target[arc]] = (n, g)
+
+    def arcs(place, token):
+        """Of the n-grams of each length that end with the token after this context."""
+        found = [model.arcs[0][names[token]]]
+        chain = []
+        while place[0]:
+            chain.append(place)
+            level = grams.levels[place[0] - 1]
+            place = (place[0] - 1, level.suffix[place[1]])
+        for n, g in reversed(chain):
+            longer = grams.levels[n]
+            hit = np.flatnonzero((longer.prefix == g) & (longer.last == token))
+            found.append(model.arcs[n][hit[0]] if len(hit) else -1)
+        return found + [-1] * (3 - len(found))
+
+    assert len(context) > 5
+    for state, place in context.items():
         model.start = state
-        assert sum(10 ** model.score([t]) for t in [*known, unknown]) == pytest.approx(1)
+        chances = [10 ** model.score([arcs(place, t)]) for t in [*known, unknown]]
+        assert sum(chances) == pytest.approx(1)
 
 
 def test_packing():
