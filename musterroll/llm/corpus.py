@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from musterroll.sinks.files import Files
 from musterroll.sinks.workspace import shared_folder
 
 # A word is a run of characters other than blank and \x09-\x0D; the bytes of any
@@ -75,13 +76,22 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
+_removed_at_end: set[str] = set()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, cut from its lineage.
 
     Lost executors do not lose it. The session's ``spark.checkpoint.dir`` is used;
-    only a single-machine session without that setting gets a folder of its own.
+    only a single-machine session without that setting gets a folder of its own. What a
+    session has stored, texts among it, is removed when the session's JVM ends.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
+    folder = context.getCheckpointDir()  # of this session alone
+    if folder not in _removed_at_end:
+        files = Files(df.sparkSession)
+        files.system(folder).deleteOnExit(files.path(folder))
+        _removed_at_end.add(folder)
     return df.checkpoint()
