@@ -36,7 +36,7 @@ class Spelling:
     least_length: int = 7
     least_count: int = 2
     ratio: int = 10
-    symbols: int = 8
+    symbols: int = 6
     typo_every: int = 31
 
 
