@@ -50,6 +50,8 @@ def distinct_folded_within(df: DataFrame, text: Iterable[str], key: str) -> Data
     """
     text = set(text)
     folded = [fold(name) if name in text else F.col(name) for name in df.columns]
+    # A NULL leaves a hash as it is, so where the NULLs are is hashed too.
+    folded += [F.isnull(name) for name in df.columns]
     digest = [F.xxhash64(*folded).alias("_d1"), F.xxhash64(F.lit(1), *folded).alias("_d2")]
     alike = Window.partitionBy(key, "_d1", "_d2")
     rows = df.select("*", *digest).select(
