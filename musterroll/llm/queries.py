@@ -74,7 +74,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     labels = table(spark, sf_dir, "labels").where(~held_out)
     model = quality_classifier.fit(docs, labels)
     return quality_classifier.scored(docs, model).select(
