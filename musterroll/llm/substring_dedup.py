@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -27,44 +28,30 @@ from musterroll.llm.corpus import words_of
 # Every difference modulo 31 is a difference of two of these six.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-MASK = (1 << 64) - 1
 
 
 @dataclass(frozen=True)
 class Passages:
     """``window``: words of a repeated passage. ``bucket_chars``: text of a bucket,
-    which one task holds in memory."""
+    which one task holds in memory. ``range_chars``: text whose anchors one task compares.
+    Both bound memory, not results, and should grow with the executors: packed rows are as
+    many as buckets times ranges."""
 
     window: int = 50
     bucket_chars: int = 8 << 20
+    range_chars: int = 8 << 20
 
     @property
     def anchor(self) -> int:
         return self.window - PERIOD + 1
 
 
-class WordHashes(dict):
-    """word -> its place in ``lanes``, two 64-bit hashes of each word met."""
-
-    MOST = 500_000
-
-    def __init__(self):
-        self.lanes = np.zeros((2, 1 << 16), np.uint64)
+class Numbers(dict):
+    """word -> its number in the bucket."""
 
     def __missing__(self, word: bytes) -> int:
-        value, place = xxhash.xxh3_128_intdigest(word), len(self)
-        if place == self.lanes.shape[1]:
-            self.lanes = np.concatenate([self.lanes, np.zeros_like(self.lanes)], axis=1)
-        self.lanes[:, place] = value >> 64, value & MASK
-        self[word] = place
-        return place
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """The two rows of hashes of ``words``; forgets all beforehand if it has many."""
-        if len(self) >= self.MOST:
-            self.clear()
-        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.lanes[:, places]
+        self[word] = number = len(self)
+        return number
 
 
 class Powers:
@@ -78,46 +65,75 @@ class Powers:
         if len(self.tables[0]) < n:
             with np.errstate(over="ignore"):
                 self.tables = [
-                    np.cumprod(np.r_[np.uint64(1), np.full(2 * n, step, np.uint64)])
+                    np.cumprod(np.r_[np.uint64(1), np.full(n, step, np.uint64)])
                     for step in self.steps
                 ]
         return [table[:n] for table in self.tables]
 
 
-def rolling(words: np.ndarray, n: int, powers: Powers) -> np.ndarray:
-    """Hashes of all windows of ``n`` words: a polynomial modulo 2**64 in their hashes."""
-    if len(words) < n:
-        return np.zeros(0, np.uint64)
-    up, down = powers.upto(len(words))
-    with np.errstate(over="ignore"):
-        sums = np.r_[np.uint64(0), np.cumsum(words * up)]
-        values = (sums[n:] - sums[:-n]) * down[: len(words) - n + 1]
-    return values ^ (values >> np.uint64(29))
+POWERS = [Powers(base) for base in BASE]
+
 
+class BucketWords:
+    """The words of a bucket's documents, one document after the other, in arrays.
 
-class Hasher:
-    def __init__(self, settings: Passages):
+    Rows without a doc_id have no words here. ``left`` is the number of words from a
+    place to the end of its document, ``place`` its distance from the beginning.
+    """
+
+    def __init__(self, docs: pa.Table, settings: Passages):
         self.settings = settings
-        self.words = WordHashes()
-        self.powers = [Powers(base) for base in BASE]
+        self.ids = docs.column("doc_id").to_pylist()
+        numbers, pieces = Numbers(), []
+        for doc, text in zip(self.ids, docs.column("text").cast(pa.binary()).to_pylist()):
+            words = text.split() if text and doc is not None else []
+            pieces.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        self.size = np.array([len(piece) for piece in pieces], np.int64)
+        self.tokens = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
+        digests = b"".join(map(xxhash.xxh3_128_digest, numbers))
+        self.lanes = np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2).T
+        self.start = np.cumsum(self.size) - self.size
+        self.owner = np.repeat(np.arange(len(self.size)), self.size)
+        self.place = np.arange(len(self.tokens)) - self.start[self.owner]
+        self.left = self.size[self.owner] - self.place
+
+    def hashes(self, lane: int, n: int, at: np.ndarray) -> np.ndarray:
+        """Of the ``n`` words from each place of ``at``: a polynomial modulo 2**64 in
+        their hashes, from running sums over all words."""
+        up, down = POWERS[lane].upto(len(self.tokens) + 1)
+        with np.errstate(over="ignore"):
+            sums = np.cumsum(self.lanes[lane][self.tokens] * up[:-1])
+            sums = np.r_[np.uint64(0), sums]
+            values = (sums[at + n] - sums[at]) * down[at]
+        return values ^ (values >> np.uint64(29))
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the anchors of documents long enough for a window."""
+        covered = np.isin(np.arange(PERIOD), COVER)[self.place % PERIOD]
+        fits = (self.left >= self.settings.anchor) & (
+            self.size[self.owner] >= self.settings.window
+        )
+        at = np.flatnonzero(covered & fits)
+        return at, self.hashes(0, self.settings.anchor, at)
+
+    def windows(self) -> np.ndarray:
+        """Places of all full windows."""
+        return np.flatnonzero(self.left >= self.settings.window)
 
-    def lanes(self, text: str | None) -> np.ndarray:
-        return self.words.of(words_of(text))
+    def checks(self, at: np.ndarray) -> np.ndarray:
+        """32 bits of a second hash of the windows at ``at``."""
+        values = self.hashes(1, self.settings.window, at)
+        return (values >> np.uint64(32)).astype(np.uint32)
 
-    def anchors(self, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the anchors of a document."""
-        values = rolling(lane, self.settings.anchor, self.powers[0])
-        if len(lane) < self.settings.window:
-            values = values[:0]
-        at = np.arange(len(values))
-        at = at[np.isin(at % PERIOD, COVER)]
-        return at, values[at]
+    def doc_ids(self, at: np.ndarray) -> np.ndarray:
+        ids = np.array([0 if i is None else i for i in self.ids], np.int64)
+        return ids[self.owner[at]]
 
-    def windows(self, lanes) -> tuple[np.ndarray, np.ndarray]:
-        """Two hashes of every full window: 64 and 32 bits."""
-        first = rolling(lanes[0], self.settings.window, self.powers[0])
-        second = rolling(lanes[1], self.settings.window, self.powers[1])
-        return first, (second >> np.uint64(32)).astype(np.uint32)
+    def marked(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether each place lies in one of the runs from ``first`` to before ``end``."""
+        n = len(self.tokens) + 1
+        change = np.bincount(first, minlength=n) - np.bincount(end, minlength=n)
+        return np.cumsum(change[:-1]) > 0
 
 
 PACKED = "bucket int, part int, hashes binary, checks binary, docs binary, shared binary"
@@ -163,17 +179,11 @@ def _anchors_task(settings: Passages, count: int):
     """
 
     def run(table: pa.Table) -> pa.Table:
-        hasher = Hasher(settings)
-        docs, hashes = [], []
-        for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text")):
-            if doc is not None:
-                _, values = hasher.anchors(hasher.lanes(text.as_py())[0])
-                values = np.unique(values)
-                hashes.append(values)
-                docs.append(np.full(len(values), doc, np.int64))
-        if not any(map(len, hashes)):
+        words = BucketWords(table, settings)
+        at, h = words.anchors()
+        if not len(at):
             return _empty()
-        h, doc = np.concatenate(hashes), np.concatenate(docs)
+        doc = words.doc_ids(at)
         order = np.lexsort((doc, h))
         h, doc = h[order], doc[order]
         first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -234,27 +244,16 @@ def _windows_task(settings: Passages, count: int):
         if not docs.num_rows or not replies.num_rows:
             return _empty()
         wanted = np.unique(_column(replies.column("hashes").to_pylist(), "<u8"))
-        hasher, slack = Hasher(settings), settings.window - settings.anchor
-        ids, first, second = [], [], []
-        for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text")):
-            if doc is None:
-                continue
-            lanes = hasher.lanes(text.as_py())
-            at, values = hasher.anchors(lanes[0])
-            at = at[_places(wanted, values) >= 0]
-            if not len(at):
-                continue
-            h, g = hasher.windows(lanes)
-            near = np.zeros(len(h) + 1, np.int64)
-            np.add.at(near, np.maximum(at - slack, 0), 1)
-            np.add.at(near, np.minimum(at + 1, len(h)), -1)
-            near = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-            first.append(h[near])
-            second.append(g[near])
-            ids.append(np.full(len(near), doc, np.int64))
-        if not ids:
+        words, slack = BucketWords(docs, settings), settings.window - settings.anchor
+        at, values = words.anchors()
+        at = at[_places(wanted, values) >= 0]
+        # The windows that hold a shared anchor: they begin at it or up to ``slack`` before.
+        near = words.marked(np.maximum(at - slack, words.start[words.owner[at]]), at + 1)
+        near = np.flatnonzero(near & (words.left >= settings.window))
+        if not len(near):
             return _empty()
-        h, g, doc = np.concatenate(first), np.concatenate(second), np.concatenate(ids)
+        h, g = words.hashes(0, settings.window, near), words.checks(near)
+        doc = words.doc_ids(near)
         order = np.lexsort((doc, g, h))
         h2, g2, doc2 = h[order], g[order], doc[order]
         new = np.r_[True, (h2[1:] != h2[:-1]) | (g2[1:] != g2[:-1])]
@@ -309,28 +308,27 @@ def _removal_task(settings: Passages):
         starts = np.unique(h)
         first = np.searchsorted(h, starts)
         size = np.searchsorted(h, starts, side="right") - first
-        hasher = Hasher(settings)
+        words = BucketWords(docs, settings)
+        gone = np.zeros(len(words.tokens), bool)
+        if len(starts):
+            windows = words.windows()
+            at = _places(starts, words.hashes(0, settings.window, windows))
+            hit, at = windows[at >= 0], at[at >= 0]
+            check, mine = words.checks(hit), words.doc_ids(hit)
+            again = np.zeros(len(hit), bool)
+            for turn in range(int(size[at].max()) if len(at) else 0):
+                entry = np.minimum(first[at] + turn, len(h) - 1)
+                again |= (turn < size[at]) & (g[entry] == check) & (least[entry] < mine)
+            gone = words.marked(hit[again], hit[again] + settings.window)
         totals, removed, spans, texts = [], [], [], []
-        for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text")):
-            text = text.as_py()
-            words = words_of(text)
-            gone = np.zeros(len(words) + 1, np.int64)
-            if doc is not None and len(starts) and len(words) >= settings.window:
-                mine, check = hasher.windows(hasher.lanes(text))
-                at = _places(starts, mine)
-                hit = np.flatnonzero(at >= 0)
-                at = at[hit]
-                for turn in range(int(size[at].max()) if len(at) else 0):
-                    entry = np.minimum(first[at] + turn, len(h) - 1)
-                    good = (turn < size[at]) & (g[entry] == check[hit]) & (least[entry] < doc)
-                    np.add.at(gone, hit[good], 1)
-                    np.add.at(gone, hit[good] + settings.window, -1)
-            gone = np.cumsum(gone[:-1]) > 0
-            edges = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-            totals.append(len(words))
-            removed.append(int(gone.sum()))
+        for start, n, text in zip(words.start, words.size, docs.column("text")):
+            found = words_of(text.as_py())
+            mine = gone[start : start + n]
+            edges = np.flatnonzero(np.diff(np.r_[False, mine, False]))
+            totals.append(len(found))
+            removed.append(int(mine.sum()))
             spans.append(edges.tolist())
-            kept = [w for w, out in zip(words, gone) if not out] if len(edges) else words
+            kept = list(compress(found, ~mine)) if len(edges) else found
             texts.append(b" ".join(kept))
         return pa.table(
             {
@@ -361,15 +359,16 @@ def without_repeats(docs: DataFrame, settings: Passages = Passages()) -> DataFra
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-chars // settings.bucket_chars))
+    ranges = max(1, -(-chars // settings.range_chars))
     bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).cast("int")
     # All three passes read this one exchange.
     dealt = rows.withColumn("bucket", bucket).repartition(count, "bucket")
-    anchors = dealt.groupBy("bucket").applyInArrow(_anchors_task(settings, count), PACKED)
+    anchors = dealt.groupBy("bucket").applyInArrow(_anchors_task(settings, ranges), PACKED)
     shared = anchors.groupBy("part").applyInArrow(_shared_anchors, PACKED)
     windows = (
         dealt.groupBy("bucket")
         .cogroup(shared.groupBy("bucket"))
-        .applyInArrow(_windows_task(settings, count), PACKED)
+        .applyInArrow(_windows_task(settings, ranges), PACKED)
     )
     repeated = windows.groupBy("part").applyInArrow(_least_docs, PACKED)
     return (
