@@ -93,7 +93,8 @@ def test_a_known_period_reads_its_partition_only(spark, stored, tmp_path):
 def test_the_distinct_of_the_stage_needs_no_shuffle_of_its_own(stored):
     plan = plan_of(roster_stage(stored, CONFIG, AS_OF))
     above = plan[: plan.index("SortMergeJoin")]
-    assert above.count("Aggregate(key=[patient_id") == 2
+    # The distinct is a window over the members' rows, ordered by digest.
+    assert above.count("Window [") >= 1 and "Aggregate" not in above
     assert "Exchange" not in above
 
 
