@@ -499,9 +499,3 @@ def test_sent_rows_have_an_empty_subscriber_id(routed_stage):
 
 def test_later_is_later():
     assert AS_OF < LATER
-
-
-def test_the_stage_is_made_distinct_without_a_sort_aggregate_over_its_texts(spark):
-    plan = roster_stage(sources(spark), CONFIG, AS_OF)._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in plan.splitlines() if "SortAggregate" in line and line.count("min(") > 5]
-    assert wide == []

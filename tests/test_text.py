@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,16 +140,3 @@ def test_beginnings_reach_the_file_scan(spark, tmp_path):
         assert got.count() == n
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "StringStartsWith(" in plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
-
-
-def test_distinct_within_a_key_is_the_folded_distinct(spark):
-    pick = random.Random(11)
-    some = ["a", "A", "a ", "b", "B  ", "", " ", None, "ab"]
-    rows = [(pick.randrange(4), pick.choice(some), pick.choice(some), pick.randrange(2)) for _ in range(400)]
-    rows += [(None, "a", None, 1), (None, "A", None, 1)]
-    df = local_frame(spark, rows, "k int, x string, y string, n int")
-    want = sorted(map(tuple, text.distinct_folded(df, ["x", "y"]).collect()), key=repr)
-    got = text.distinct_folded_within(df.repartition(3, "k"), ["x", "y"], "k")
-    assert sorted(map(tuple, got.collect()), key=repr) == want
-    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("Exchange ") == 1 and "SortAggregate" not in plan
