@@ -47,6 +47,7 @@ NAMES = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {
     "nbsp": " ",
 }
 REPLACEMENT = "\uFFFD"
+COMMON = ("amp", "nbsp", "lt", "gt", "quot")  # looked up before the others
 RECORD_COLUMNS = [
     "warc_type",
     "record_id",
@@ -71,31 +72,41 @@ def plain_text(html: Column) -> Column:
     for pattern, into in STEPS:
         html = F.regexp_replace(html, pattern, into)
     pieces = F.split(html, "&")
-    decoded = F.concat(
-        F.element_at(pieces, 1),
-        F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), _decoded), ""),
+    # The name of each entity is looked for once, then the number in it.
+    parts = F.transform(
+        F.slice(pieces, 2, F.size(pieces)),
+        lambda p: F.struct(p.alias("p"), F.regexp_extract(p, ENTITY, 1).alias("name")),
     )
+    numbered = F.transform(
+        parts, lambda x: F.struct(x.p.alias("p"), x["name"].alias("name"), _number(x["name"]).alias("n"))
+    )
+    decoded = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(numbered, _decoded), ""))
     return F.when(F.contains(html, F.lit("&")), decoded).otherwise(html)
 
 
-def _decoded(piece: Column) -> Column:
-    """``piece``, which an ampersand came before, with its entity as a character."""
-    name = F.regexp_extract(piece, ENTITY, 1)
-    number = F.when(
+def _number(name: Column) -> Column:
+    """The number of a numeric entity; NULL for a name."""
+    digits = F.when(
         F.lower(F.substring(name, 1, 2)) == "#x", F.conv(F.substring(name, 3, 6), 16, 10)
-    ).otherwise(F.substring(name, 2, 8)).cast("long")
-    is_character = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    named = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
+    ).otherwise(F.substring(name, 2, 8))
+    return F.when(F.startswith(name, F.lit("#")), digits.cast("long"))
+
+
+def _decoded(x: Column) -> Column:
+    """The piece ``p``, which an ampersand came before, with its entity as a character."""
+    is_character = x.n.between(1, 0x10FFFF) & ~x.n.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(x.n), 8, "0")), "UTF-32")
+    common = [F.when(x["name"] == name, F.lit(NAMES[name])) for name in COMMON]
+    named = F.create_map(*[F.lit(y) for pair in NAMES.items() for y in pair])
     into = (
-        F.when(~name.startswith("#"), named[name])
-        .when(number == 0xA0, " ")
+        F.when(x.n.isNull(), F.coalesce(*common, named[x["name"]]))
+        .when(x.n == 0xA0, " ")
         .when(is_character, character)
         .otherwise(REPLACEMENT)
     )
-    rest = F.substring(piece, F.length(name) + 2, F.length(piece))
-    kept = F.concat(F.lit("&"), piece)
-    return F.when(name == "", kept).otherwise(F.coalesce(F.concat(into, rest), kept))
+    rest = F.substring(x.p, F.length(x["name"]) + 2, F.length(x.p))
+    kept = F.concat(F.lit("&"), x.p)
+    return F.when(x["name"] == "", kept).otherwise(F.coalesce(F.concat(into, rest), kept))
 
 
 def urn(*parts: Column) -> Column:
