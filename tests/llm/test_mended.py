@@ -40,6 +40,30 @@ def test_text_of_html_in_spark_and_sql(spark):
         assert connection.execute(sql, [html]).fetchone()[0] == want
 
 
+def test_text_of_html_is_computed_once(spark):
+    """Each step's pattern runs once a page, not once for each use of the text."""
+    df = spark.createDataFrame([("<p>a &amp; b</p>",)], "html string")
+    made = df.select(warc.plain_text(F.col("html")).alias("text"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("regexp_replace(") <= len(warc.STEPS)
+
+
+def test_mixed_html_in_spark_and_sql(spark):
+    rng = random.Random(8)
+    bits = [
+        "<p>", "</P >", "<br/>", "<b a='>' c=d>", "</b>", "<!-- & -->", "<script>x", "</script>",
+        "&amp;", "&#65;", "&nosuch;", "&", ";", " ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "é", "word", "<", "=",
+    ]
+    pages = ["".join(rng.choices(bits, k=rng.randint(1, 40))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(pages)), "k int, html string").coalesce(1)
+    got = [r[1] for r in df.select("k", warc.plain_text(F.col("html"))).orderBy("k").collect()]
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE p AS SELECT unnest(?) AS html, unnest(range(?)) AS k", [pages, len(pages)])
+    want = connection.execute(f"SELECT {_plain_text('html')} FROM p ORDER BY k").fetchall()
+    assert got == [row[0] for row in want]
+    assert len(set(got)) > 200
+
+
 def test_very_long_html_and_clashing_columns(spark):
     long = "<p a=1>" + "word &lt; " * 200_000 + "<i title='" + "x" * 300_000 + "'></i></p>"
     df = spark.createDataFrame([(1, "u", long)], "page_id long, url string, html string")
