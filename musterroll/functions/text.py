@@ -33,11 +33,13 @@ def distinct_folded(df: DataFrame, text: Iterable[str]) -> DataFrame:
     """Distinct rows, where spellings of ``text`` columns that fold alike are one value.
 
     The smallest spelling of each column is kept. Partial aggregation removes most
-    repeats before the shuffle.
+    repeats before the shuffle. The folded values are one key, an array, as sorting by
+    very many keys takes long.
     """
     text = list(text)
-    keys = [fold(name).alias(f"_{name}") if name in text else name for name in df.columns]
-    kept = df.groupBy(*keys).agg(*[F.min(name).alias(name) for name in text])
+    keys = [name for name in df.columns if name not in text]
+    folded = F.array(*[fold(name) for name in text]).alias("_folded")
+    kept = df.groupBy(*keys, folded).agg(*[F.min(name).alias(name) for name in text])
     return kept.select(*df.columns)
 
 

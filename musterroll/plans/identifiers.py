@@ -109,19 +109,25 @@ def blank_codes(codes: DataFrame, blanks: DataFrame, width: int = 10) -> DataFra
 
 
 def override_codes(
-    codes: DataFrame, blanks: DataFrame, corrections: DataFrame | None, width: int = 10
+    codes: DataFrame,
+    blanks: DataFrame,
+    corrections: DataFrame | None,
+    width: int = 10,
+    written: bool = False,
 ) -> DataFrame:
     """Blank listed codes, then apply reviewed corrections; the order matters.
 
     Both lists are gathered per member, each in one row, so that ``codes`` meets them
-    in one join on the member. A member's list of blanked codes is small.
+    in one join on the member. A member's list of blanked codes is small. With
+    ``written`` ``codes`` is a table, cheap to read again, and only its members' lists
+    are gathered.
     """
     listed = blanks.select(
-        F.col("patient_id").alias("_fix_id"),
+        F.col("patient_id"),
         fold(normalize_code("external_code", width)).alias("_blank"),
         F.lit(None).cast("string").alias("_value"),
         F.lit(False).alias("_correction"),
-    ).where(F.col("_fix_id").isNotNull() & F.col("_blank").isNotNull())
+    ).where(F.col("patient_id").isNotNull() & F.col("_blank").isNotNull())
     if corrections is not None:
         fixed = corrections.where(F.col("patient_id").isNotNull()).select(
             F.col("patient_id"),
@@ -130,11 +136,17 @@ def override_codes(
             F.lit(True),
         )
         listed = listed.union(fixed)
-    fixes = listed.groupBy("_fix_id").agg(
-        F.collect_set("_blank").alias("_blanks"),
-        F.min("_value").alias("_value"),
-        F.bool_or("_correction").alias("_corrected"),
-    )
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("patient_id").agg(
+            F.collect_set("_blank").alias("_blanks"),
+            F.min("_value").alias("_value"),
+            F.bool_or("_correction").alias("_corrected"),
+        )
+
+    fixes = restrict_around(
+        listed, codes if written else None, "patient_id", gathered
+    ).withColumnRenamed("patient_id", "_fix_id")
     blanked = F.when(F.array_contains("_blanks", fold("code")), "").otherwise(F.col("code"))
     return (
         codes.join(fixes, codes["patient_id"] == fixes["_fix_id"], "left")

@@ -166,7 +166,7 @@ def run(
             attribute(sources.member_provider, sources.provider_dim, as_of, cfg, cohort),
         )
         member_code = override_codes(
-            codes, sources.id_blank, sources.id_correction, cfg.code_width
+            codes, sources.id_blank, sources.id_correction, cfg.code_width, written=True
         )
         stage = conform(
             assemble(cohort, member_code, ids, attribution), STAGE_SCHEMA, cfg.on_overflow

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from musterroll.functions.text import distinct_folded
 from musterroll.plans.cohort import build_cohort, in_period, latest_period
 from musterroll.plans.identifiers import (
     blank_codes,
@@ -425,6 +427,31 @@ def test_stage_has_the_declared_columns(spark):
     assert stage(spark).columns == STAGE_SCHEMA.names
 
 
+def test_only_the_lists_of_members_with_a_code_are_gathered(spark):
+    codes = spark.sql("VALUES (1, '42'), (2, '42'), (3, '7'), (NULL, '8') AS t(patient_id, code)")
+    blanks = frame(spark, "id_blank", [(1, "0042"), (2, "43"), (9, "42"), (None, "8")])
+    fixes = frame(spark, "id_correction", [(3, None), (8, "z")])
+    plain = override_codes(codes, blanks, fixes)
+    written = override_codes(codes, blanks, fixes, written=True)
+    for got in (plain, written):
+        assert set(map(tuple, got.collect())) == {(1, ""), (2, "42"), (3, None), (None, "8")}
+    plan = written._jdf.queryExecution().optimizedPlan().toString()
+    # The members are known below the grouping of the lists.
+    assert plan.rindex("LeftSemi") > plan.index("collect_set")
+
+
+def test_folded_values_are_one_key(spark):
+    names = [f"c{k}" for k in range(12)]
+    rows = [(1, *["A "] * 12), (1, *["a"] * 12), (1, *[None] * 12), (1, *[None] * 12), (2, *["a"] * 12)]
+    df = spark.createDataFrame(rows, ["k", *names])
+    got = distinct_folded(df, names)
+    assert sorted(got.collect(), key=str) == sorted(
+        [(1, *["A "] * 12), (1, *[None] * 12), (2, *["a"] * 12)], key=str
+    )
+    grouped = re.search(r"Aggregate \[([^\]]*)\]", got._jdf.queryExecution().optimizedPlan().toString())
+    assert grouped[1].count(",") == 1
+
+
 def test_stage_rows_are_distinct(spark):
     one = [month(1), month(1), month(1, contract_key=2)]
     got = stage(spark, member=[person(1), person(1)], member_month=one,
